@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebind.llm.split import split_oversized
+from lakebind.llm.stuffing import stuffed_share
 from lakebind.llm.topn import top_n_per_group
 from lakebind.storage import table
 
@@ -29,7 +30,13 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pieces(spark, folder).where(F.col("piece_no") == 2).select("chunk_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents more than half of whose text is stuffed."""
+    shares = stuffed_share(table(spark, folder, "documents"), "doc_id", "text", "lang")
+    return shares.where(F.col("share") > 0.5).select("doc_id")
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p9_found": p9_found}
 
 SQL = {
     "p1_found": """
