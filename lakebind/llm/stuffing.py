@@ -1,6 +1,6 @@
 """Keyword-stuffed and link-list pages, by block-wise compression ratio and sentence punctuation.
 
-A text is cut into blocks of running sentences and blocks of everything else, of about ``SENTENCES`` and ``BLOCK`` characters. A
+A text is cut into blocks of running sentences and blocks of everything else, each of about ``BLOCK`` characters. A
 block's compression ratio is set against the median of all blocks of its language, length and layout, in units of
 their spread. A block that compresses far better than its like is redundant; outside sentences that is enough
 (keyword lists, menus and links have no sentence punctuation); inside sentences, and among rows of table cells, only
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from lakebind.storage import cut, written
 
-BLOCK, SENTENCES = 320, 200
+#: Sentences and the rest are cut alike, so that the medians of a length come mostly from ordinary prose.
+BLOCK = 256
 #: Deviations below the median from which a block counts: without and with sentence punctuation or rows of cells.
 LOOSE, STRICT = -3.0, -6.0
 #: A block mainly of figures is data: digits may make up at most this share of its letters and digits.
@@ -60,7 +61,7 @@ def blocks(text: str) -> list[tuple[bool, str]]:
     out = []
     for kind, units in runs:
         run = "".join(units)
-        parts = max(1, round(len(run) / (SENTENCES if kind else BLOCK)))
+        parts = max(1, round(len(run) / BLOCK))
         out += [(kind, run[len(run) * k // parts : len(run) * (k + 1) // parts]) for k in range(parts)]
     return out
 
