@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakebind.llm.encoding import encode_corpus
+from lakebind.llm.packing import count_tokens, pack
 from lakebind.llm.split import split_oversized
 from lakebind.llm.stuffing import stuffed_share
 from lakebind.llm.topn import top_n_per_group
@@ -30,13 +32,28 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pieces(spark, folder).where(F.col("piece_no") == 2).select("chunk_id").distinct()
 
 
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The token ids of every document."""
+    return encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers of 4,096 tokens for all documents."""
+    return pack(count_tokens(table(spark, folder, "documents"), "doc_id", "text"), "doc_id", "n_tokens", 4096)
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that had to be divided: those with a second piece."""
+    return p8_containers(spark, folder).where(F.col("piece_no") == 2).select("doc_id").distinct()
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents more than half of whose text is stuffed."""
     shares = stuffed_share(table(spark, folder, "documents"), "doc_id", "text", "lang")
     return shares.where(F.col("share") > 0.5).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
 
 SQL = {
     "p1_found": """
