@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebind.llm.encoding import encode_corpus
+from lakebind.llm.nearcopies import alike_pairs, groups, near_copies
 from lakebind.llm.packing import count_tokens, pack
 from lakebind.llm.split import split_oversized
 from lakebind.llm.stuffing import stuffed_share
@@ -32,6 +33,18 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pieces(spark, folder).where(F.col("piece_no") == 2).select("chunk_id").distinct()
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of chunks whose texts have at least 0.6 of their runs of three words in common."""
+    members, links = near_copies(table(spark, folder, "canonical_chunks"), "chunk_id", "text", likeness=0.6, run=3, least=20)
+    return alike_pairs(members, links, "chunk_id")
+
+
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every chunk of at least 20 words with its group of near copies and its number of links."""
+    members, links = near_copies(table(spark, folder, "canonical_chunks"), "chunk_id", "text", likeness=0.6, run=3, least=20)
+    return groups(members, links, "chunk_id")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The token ids of every document."""
     return encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
@@ -53,7 +66,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return shares.where(F.col("share") > 0.5).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
 
 SQL = {
     "p1_found": """
