@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebind.llm.encoding import encode_corpus
+from lakebind.llm.mojibake import repair_encoding
 from lakebind.llm.nearcopies import alike_pairs, groups, near_copies
 from lakebind.llm.packing import count_tokens, pack
 from lakebind.llm.split import split_oversized
@@ -33,6 +34,19 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pieces(spark, folder).where(F.col("piece_no") == 2).select("chunk_id").distinct()
 
 
+def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that hold wrongly decoded characters, with the text restored as far as it can be."""
+    parts = (("text", "canonical_texts", "text_id", "text"), ("table", "canonical_tables", "table_id", "preview_text"))
+    records = [table(spark, folder, name).select(F.lit(kind).alias("record_kind"), F.col(key).alias("record_id"), F.split("source_path", "/")[0].alias("source"), F.col(text).alias("text")) for kind, name, key, text in parts]
+    repaired = repair_encoding(records[0].unionByName(records[1]), "record_kind", "record_id", "source", "text")
+    return repaired.where("wrong").select("record_kind", "record_id", "restored").distinct()
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that hold wrongly decoded characters."""
+    return p5_restored(spark, folder).select("record_kind", "record_id").distinct()
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of chunks whose texts have at least 0.6 of their runs of three words in common."""
     members, links = near_copies(table(spark, folder, "canonical_chunks"), "chunk_id", "text", likeness=0.6, run=3, least=20)
@@ -66,7 +80,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return shares.where(F.col("share") > 0.5).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_restored": p5_restored, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
 
 SQL = {
     "p1_found": """
