@@ -9,6 +9,7 @@ from lakebind.llm.encoding import encode_corpus
 from lakebind.llm.mojibake import repair_encoding
 from lakebind.llm.nearcopies import alike_pairs, groups, near_copies
 from lakebind.llm.packing import count_tokens, pack
+from lakebind.llm.scans import repair_scans
 from lakebind.llm.split import split_oversized
 from lakebind.llm.stuffing import stuffed_share
 from lakebind.llm.topn import top_n_per_group
@@ -21,6 +22,18 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return top_n_per_group(hits, "source_path", "score", "chunk_id", "hit_id", 5).select("hit_id")
 
 
+def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and descriptions that bear traces of a scan, as continuous paragraphs."""
+    parts = (("text", "canonical_texts", "text_id", "text"), ("image", "canonical_images", "image_id", "description"))
+    records = [table(spark, folder, name).select(F.lit(kind).alias("record_kind"), F.col(key).alias("record_id"), F.col(text).alias("text")) for kind, name, key, text in parts]
+    return repair_scans(records[0].unionByName(records[1]), "record_kind", "record_id", "text").drop("original")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and descriptions that bear traces of a scan."""
+    return p2_repaired(spark, folder).select("record_kind", "record_id").distinct()
+
+
 def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every chunk longer than the limit of its kind."""
     limits = table(spark, folder, "chunk_limits")
@@ -80,7 +93,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return shares.where(F.col("share") > 0.5).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_restored": p5_restored, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_repaired": p2_repaired, "p4_found": p4_found, "p4_pieces": p4_pieces, "p5_found": p5_found, "p5_restored": p5_restored, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p8_found": p8_found, "p8_containers": p8_containers, "p9_found": p9_found}
 
 SQL = {
     "p1_found": """
