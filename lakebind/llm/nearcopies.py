@@ -222,6 +222,15 @@ def _sketches(first: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return twice, counts
 
 
+def _planar(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits by byte planes, whose many zeros the shuffle compresses away."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
     """Packed rows by bucket: the class, size, bitmap and leading repeated runs of each text."""
 
@@ -267,7 +276,7 @@ def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
             out: list[list] = [[] for _ in range(7)]
             for a, b in zip(edges, np.append(edges[1:], len(bucket))):
                 texts, times = np.unique(owner[a:b], return_counts=True)
-                for column, x in zip(out, (int(bucket[a]), names[texts].tobytes(), sizes[texts].astype(np.uint32).tobytes(), bitmaps[texts].tobytes(), times.astype(np.uint32).tobytes(), token[a:b].tobytes(), place[a:b].astype(np.uint32).tobytes())):
+                for column, x in zip(out, (int(bucket[a]), names[texts].tobytes(), _planar(sizes[texts]), bitmaps[texts].tobytes(), _planar(times), token[a:b].tobytes(), _planar(place[a:b]))):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], names=["bucket", "classes", "sizes", "bitmaps", "times", "tokens", "places"])
 
@@ -282,9 +291,10 @@ def _compare(likeness: float):
         for bucket in sorted({row["bucket"] for row in rows}):
             own = [row for row in rows if row["bucket"] == bucket]
             join = lambda name, kind: np.frombuffer(b"".join(row[name] for row in own), dtype=kind)  # noqa: B023, E731
-            names, sizes = join("classes", np.uint8).reshape(-1, 16), join("sizes", np.uint32).astype(np.int64)
+            numbers = lambda name: np.concatenate([_numbers(row[name]) for row in own])  # noqa: B023, E731
+            names, sizes = join("classes", np.uint8).reshape(-1, 16), numbers("sizes")
             bitmaps = join("bitmaps", np.uint8).reshape(-1, BITS // 8)
-            text, token, place = np.repeat(np.arange(len(names)), join("times", np.uint32)), join("tokens", np.uint32), join("places", np.uint32).astype(np.int64)
+            text, token, place = np.repeat(np.arange(len(names)), numbers("times")), join("tokens", np.uint32), numbers("places")
             _, first, same = np.unique(names.view("V16").ravel(), return_index=True, return_inverse=True)
             text = first[same.ravel()][text]  # copies from other tasks are one text
             order = np.lexsort((place, text, token))
