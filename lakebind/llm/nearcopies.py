@@ -30,7 +30,7 @@ from lakebind.storage import cut, shuffle_partitions, written
 
 BITS = 256
 #: Slots of the sketches, as powers of two: runs seen once and twice, and counts. Their size never grows.
-SEEN, COUNTS = 25, 18
+SEEN, COUNTS = 24, 18
 #: Texts with one run from which its block is spread over a grid of buckets.
 HOT = 2000
 _BLOCK = 1 << 16
@@ -205,10 +205,14 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 def _sketches(first: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the runs that occur twice, and counts, from all tasks: 4 MB and 1 MB whatever the input."""
+    """Bits of the runs that occur twice, and counts, from all tasks: 2 MB and 1 MB whatever the input.
+
+    The sketches of very many tasks are merged in two steps, so that none takes more than a share of them.
+    """
     blocks = first.where(F.col("block").isNotNull()).select("block", "payload")
     shape = "block int, payload binary"
-    blocks = blocks.withColumn("part", F.spark_partition_id() % 64).groupBy("block", "part").applyInArrow(_merge, shape)
+    if len(first.inputFiles()) > 64:
+        blocks = blocks.withColumn("part", F.spark_partition_id() % 64).groupBy("block", "part").applyInArrow(_merge, shape)
     blocks = blocks.groupBy("block").applyInArrow(_merge, shape)
     twice, counts = np.zeros((1 << SEEN) // 8, dtype=np.uint8), np.zeros(1 << COUNTS, dtype=np.uint32)
     for row in blocks.toLocalIterator():
@@ -395,8 +399,9 @@ def near_copies(df: DataFrame, key: str, text: str, likeness: float = 0.8, run:
             kept = pa.array(np.array(shares, dtype=np.float64) >= likeness - 1e-12)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shares, pa.float64())], names=["a", "b", "likeness"]).filter(kept)
 
-    runs = rows.select("t").mapInArrow(sets, "class binary, runs binary").dropDuplicates(["class"])
-    runs = written(runs, "runs")
+    # the sets keep their partitioning through the checkpoint, so that the two joins move only the pairs
+    runs = cut(rows.select("t").mapInArrow(sets, "class binary, runs binary").repartition(buckets, "class").dropDuplicates(["class"]))
+    pairs = pairs.repartition(buckets, "a")
     both = pairs.join(runs.select(F.col("class").alias("a"), F.col("runs").alias("x")), "a").join(runs.select(F.col("class").alias("b"), F.col("runs").alias("y")), "b")
     links = written(both.select("a", "b", "x", "y").mapInArrow(verify, "a binary, b binary, likeness double"), "links")
     return members.withColumnRenamed("k", key), links
