@@ -235,6 +235,17 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    """The lower 48 bits of hashes: two runs of a pair of texts are taken for one once in some billion pairs."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return np.unique(wide.view("<u8").ravel())
+
+
 def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
     """Packed rows by bucket: the class, size, bitmap and leading repeated runs of each text."""
 
@@ -387,21 +398,19 @@ def near_copies(df: DataFrame, key: str, text: str, likeness: float = 0.8, run:
             owner, hashes = runs_of([t for _, t in kept], words, run, least)
             edges = np.searchsorted(owner, np.arange(len(kept) + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in kept], pa.binary()), pa.array([hashes[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], names=["class", "runs"])
+                [pa.array([c for c, _ in kept], pa.binary()), pa.array([_packed(hashes[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())], names=["class", "runs"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shares = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                x, y = _unpacked(x), _unpacked(y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 shares.append(both / (len(x) + len(y) - both))
             kept = pa.array(np.array(shares, dtype=np.float64) >= likeness - 1e-12)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shares, pa.float64())], names=["a", "b", "likeness"]).filter(kept)
 
-    # the sets keep their partitioning through the checkpoint, so that the two joins move only the pairs
-    runs = cut(rows.select("t").mapInArrow(sets, "class binary, runs binary").repartition(buckets, "class").dropDuplicates(["class"]))
-    pairs = pairs.repartition(buckets, "a")
+    runs = written(rows.select("t").mapInArrow(sets, "class binary, runs binary").dropDuplicates(["class"]), "runs")
     both = pairs.join(runs.select(F.col("class").alias("a"), F.col("runs").alias("x")), "a").join(runs.select(F.col("class").alias("b"), F.col("runs").alias("y")), "b")
     links = written(both.select("a", "b", "x", "y").mapInArrow(verify, "a binary, b binary, likeness double"), "links")
     return members.withColumnRenamed("k", key), links
