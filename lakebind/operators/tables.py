@@ -11,7 +11,7 @@ HEAD = 20
 def cell_rows(tables: DataFrame, key: str, text: str, delimiter: Column) -> DataFrame:
     """(key, idx, cells): the rows of previews with any non-empty cell, cells trimmed, ``idx`` counting from 0."""
     lines = tables.select(key, F.posexplode(F.split(F.coalesce(text, F.lit("")), r"\r?\n")).alias("line_no", "line"), delimiter.alias("d"))
-    cells = lines.select(key, "line_no", F.transform(F.split("line", F.concat(F.lit(r"\Q"), F.col("d"), F.lit(r"\E"))), F.trim).alias("cells"))
+    cells = lines.select(key, "line_no", F.transform(F.split("line", F.concat(F.lit(r"\Q"), F.col("d"), F.lit(r"\E"))), lambda c: F.trim(c)).alias("cells"))
     kept = cells.where(F.exists("cells", lambda c: c != ""))
     return kept.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("line_no")) - 1).alias("idx"), "cells")
 
