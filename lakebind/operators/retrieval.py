@@ -31,15 +31,19 @@ def document(corpus_row: str = "") -> Column:
     return F.concat_ws("\n", *[F.nullif(F.col(c), F.lit("")) for c in ("source_path", "source_kind", "source_role", "locator", "text")])
 
 
-def postings(df: DataFrame, key: str, text: Column, expand: bool = True) -> tuple[DataFrame, DataFrame]:
+def postings(df: DataFrame, key: str, text: Column, expand: bool = True, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(term counts (key, token, tf), lengths (key, dl)) of a text; a text without tokens has length 0.
 
+    ``only`` limits the counts to the tokens of a table, before they are aggregated: a search needs no others.
+
     The tokens are written once and read for counts, lengths and frequencies: this is the index.
     """
     tokens = written(T.with_tokens(df.select(key, text.alias("t")), F.col("t"), expand=expand).select(key, "tokens"), "tokens")
     lengths = tokens.select(key, F.size("tokens").alias("dl"))
-    counts = tokens.select(key, F.explode("tokens").alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
-    return counts, lengths
+    terms = tokens.select(key, F.explode("tokens").alias("token"))
+    if only is not None:
+        terms = terms.join(only.select("token").distinct(), "token", "left_semi")
+    return terms.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")), lengths
 
 
 def bm25_idf(counts: DataFrame, documents: DataFrame) -> DataFrame:
@@ -61,10 +65,12 @@ def query_tokens(questions: DataFrame) -> DataFrame:
 
 def bm25_scores(corpus: DataFrame, questions: DataFrame, text: Column, floor: float = 0.0) -> DataFrame:
     """(question_id, chunk_id, score) of the chunks that share a token with a question."""
-    counts, lengths = postings(corpus, "chunk_id", text)
+    query = query_tokens(questions)
+    counts, lengths = postings(corpus, "chunk_id", text, only=query)
+    counts = cut(counts)
     stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.greatest(F.avg("dl"), F.lit(floor)).alias("avgdl"))
     idf = bm25_idf(counts, stats.select("n")).drop("df")
-    wanted = query_tokens(questions).join(idf, "token")
+    wanted = query.join(idf, "token")
     matched = counts.join(wanted, "token").join(lengths, "chunk_id").crossJoin(F.broadcast(stats.select("avgdl")))
     tf = F.col("tf")
     part = F.col("qtf") * F.col("idf") * (tf * (K1 + 1)) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
