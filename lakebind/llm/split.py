@@ -57,19 +57,20 @@ def pieces(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     where, penalty = boundaries(text, step)
     where, penalty = np.append(where, length), np.append(penalty, 0.0)
     ideal = (length - overlap) / -(-(length - overlap) // step)
-    best = np.full(len(where), np.inf)
-    came = np.full(len(where), -1, dtype=np.int64)
-    low = 0
-    for k, at in enumerate(where.tolist()):
-        if at <= limit:
-            best[k] = penalty[k] + BALANCE * ((at - overlap - ideal) / step) ** 2
-        while where[low] < at - step:
-            low += 1
-        earlier = slice(low, k)
+    count = len(where)
+    best = np.full(count, np.inf)
+    came = np.full(count, -1, dtype=np.int64)
+    balance = BALANCE / step**2
+    opening = int(np.searchsorted(where, limit, side="right"))
+    best[:opening] = penalty[:opening] + balance * (where[:opening] - overlap - ideal) ** 2
+    usable = int(np.searchsorted(where, overlap, side="right"))  # a piece must start after the last one's start
+    lows = np.maximum(np.searchsorted(where, where - step), usable).tolist()
+    shifted = where + ideal
+    for k, (at, low) in enumerate(zip(where.tolist(), lows)):
         if low < k:
-            total = best[earlier] + BALANCE * ((at - where[earlier] - ideal) / step) ** 2
-            total = np.where(where[earlier] > overlap, total, np.inf)
-            chosen = int(np.argmin(total))
+            apart = at - shifted[low:k]
+            total = best[low:k] + balance * apart * apart
+            chosen = int(total.argmin())
             if total[chosen] + penalty[k] < best[k]:
                 best[k], came[k] = total[chosen] + penalty[k], low + chosen
     ends, k = [], len(where) - 1
