@@ -476,6 +476,8 @@ def repair_scans(df: DataFrame, kind: str, key: str, text: str) -> DataFrame:
                 # furniture holds a page number, stands beside one, or repeats
                 own = np.where((f[:, 0] + f[:, 1] + f[:, 11] > 0) | (f[:, 4] >= 2), own, 0.0)
                 marked = np.array([s > 0.5 and bool(line.strip()) and len(lines) > 2 for s, line in zip(own, lines)], dtype=bool)
+                if marked.sum() == 1 and not f[marked][0, :2].any():
+                    marked[:] = False  # a header stands alone only with its page number
                 width = float(np.median([len(x) for x in lines if len(x) > 25] or [40]))
                 breaks = [{"line": k, "next": j, "first": a, "mark": m, "second": b, "length": len(lines[k]) / width} for k, j, a, m, b in break_candidates(lines, marked)]
                 out.append((np.flatnonzero(marked).tolist(), breaks, sorted(set(words_of("\n".join(lines))))))
