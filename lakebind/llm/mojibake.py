@@ -102,8 +102,9 @@ def symbols_in(text: str) -> list[tuple[int, int, tuple[str, ...]]]:
             letter = _decode(match.group(), at)
             if letter:
                 found.setdefault(match.span(), []).append(letter)
-    for match in _SPACED.finditer(text):
-        found.setdefault(match.span(), []).append("à")
+    if found:  # beside other symbols, the second half of one may have become an ordinary blank
+        for match in _SPACED.finditer(text):
+            found.setdefault(match.span(), []).append("à")
     out, end = [], 0
     for (a, b), letters in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
         if a >= end:
