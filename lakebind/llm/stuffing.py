@@ -23,7 +23,7 @@ from lakebind.storage import cut, written
 #: Sentences and the rest are cut alike, so that the medians of a length come mostly from ordinary prose.
 BLOCK = 256
 #: Deviations below the median from which a block counts: without and with sentence punctuation or rows of cells.
-LOOSE, STRICT = -3.0, -6.0
+LOOSE, STRICT = -2.5, -6.0
 #: A block mainly of figures is data: digits may make up at most this share of its letters and digits.
 FIGURES = 0.35
 #: Fewest blocks of a language, layout and length for their own median.
