@@ -31,9 +31,11 @@ MISREAD = (
 )
 #: Records and common words from which the classifiers learn, at most.
 SAMPLE_RECORDS, SAMPLE_WORDS = 3000, 6000
-#: A correction must be so many times as frequent as the word, and occur in so many records; a word in more than two
-#: records is a misreading only of one ``OFTEN`` times as frequent, as each single misreading is rare.
-RATIO, COMMON, OFTEN = 8, 5, 200
+#: A correction must be so many times as frequent as the word, and occur in so many records.
+RATIO, COMMON = 8, 5
+#: How many times as frequent as its misreading a word is at most in training, and as a real word that resembles it;
+#: such real pairs are drawn so often. Shares of the corpus, so that its size changes nothing.
+RAREST, RESEMBLING, DRAWS = 5000, 60, 3
 #: Marks at the end of a broken line.
 MARKS = "-¬‐‑­"
 
@@ -98,11 +100,28 @@ def explained(word: str, other: str) -> tuple[int, int]:
     return total % edit, total // edit
 
 
-def pair_features(word: str, df: int, other: str, other_df: int) -> list[float]:
+class Grams:
+    """How many records hold the words of each trigram, as shares of all: how odd a spelling is in this corpus."""
+
+    def __init__(self, counts: dict[str, int]):
+        self.counts, self.total = counts, max(1, sum(counts.values()))
+
+    def oddness(self, word: str, df: int, other: str) -> float:
+        """Log ratio of the rarest trigram that ``word`` has instead of ``other``'s, its own records apart, to the rarest of those."""
+        mine, others = set(grams(word)), set(grams(other))
+
+        def rarest(of: set[str], own: int) -> float:
+            return min((max(0, self.counts.get(g, 0) - own) for g in of), default=0) / self.total + 1e-6
+
+        return float(np.log(rarest(mine - others, df) / rarest(others - mine, 0)))
+
+
+def pair_features(word: str, df: int, other: str, ratio: float, known: Grams) -> list[float]:
+    """Features of a word in ``df`` records and one ``ratio`` times as frequent; none depends on the size of the corpus."""
     misread, edits = explained(word, other)
     shared = len(set(grams(word)) & set(grams(other)))
     digit = any(c.isdigit() for c in word)
-    return [misread, edits, float(digit), np.log((other_df + 1) / (df + 1)), np.log(other_df + 1), len(word), shared / len(grams(word)), float(word[0] == other[0])]
+    return [misread, edits, float(digit), np.log(ratio), known.oddness(word, df, other), len(word), shared / len(grams(word)), float(word[0] == other[0])]
 
 
 def misread_word(word: str, dice: random.Random) -> str:
@@ -116,32 +135,49 @@ def misread_word(word: str, dice: random.Random) -> str:
     return word
 
 
-def learn_words(vocabulary: dict[str, int]) -> Boosted:
-    """The ranking model, from misread common words and, as words that need no correction, common words left out of the list."""
+def learn_words(vocabulary: dict[str, int], known: Grams) -> Boosted:
+    """The ranking model, from misread common words and, as words that need no correction, real words beside rarer ones.
+
+    Common words that may themselves be misreadings, being far rarer than a word that explains them, teach nothing.
+    """
     dice = random.Random(7)
-    index: dict[str, list[str]] = {}
-    for word in vocabulary:
-        for g in grams(word):
-            index.setdefault(g, []).append(word)
 
-    def candidates(word: str, but: str = "") -> list[str]:
+    def draw(most: float) -> float:
+        return float(np.exp(dice.uniform(np.log(RATIO), np.log(most))))
+
+    def indexed(words: dict[str, int]) -> dict[str, list[str]]:
+        index: dict[str, list[str]] = {}
+        for word in words:
+            for g in grams(word):
+                index.setdefault(g, []).append(word)
+        return index
+
+    def candidates(word: str) -> list[str]:
         counts = Counter(c for g in grams(word) for c in index.get(g, ()))
         least = max(1, len(word) - 5)
-        return [c for c, n in counts.most_common(12) if n >= least and c not in (word, but)]
+        return [c for c, n in counts.most_common(12) if n >= least and c != word]
 
+    index = indexed(vocabulary)
+    doubtful = {w for w, n in vocabulary.items() if len(w) >= 4 and any(vocabulary[c] >= RATIO * n and explained(w, c)[1] == 0 for c in candidates(w))}
+    vocabulary = {w: n for w, n in vocabulary.items() if w not in doubtful}
+    index = indexed(vocabulary)
     x, y = [], []
     for word in sorted(vocabulary):
         if len(word) < 4:
             continue
-        wrong = misread_word(word, dice)
-        df = 1 + int(dice.random() ** 3 * vocabulary[word] / OFTEN)
+        df, wrong = vocabulary[word], misread_word(word, dice)
         if wrong != word and wrong not in vocabulary:
-            for c in {*candidates(wrong), word}:
-                x.append(pair_features(wrong, df, c, vocabulary[c]))
+            ratio = draw(RAREST)
+            for c in sorted({*candidates(wrong), word}):
+                x.append(pair_features(wrong, 0, c, ratio * vocabulary[c] / df, known))
                 y.append(c == word)
-        for c in candidates(word, word)[:6]:
-            x.append(pair_features(word, df, c, vocabulary[c]))
-            y.append(False)
+            for _ in range(DRAWS):
+                x.append(pair_features(word, df, wrong, draw(RESEMBLING), known))
+                y.append(False)
+        for c in candidates(word)[:6]:
+            if df < RATIO * vocabulary[c] and vocabulary[c] < RATIO * df:
+                x.append(pair_features(word, df, c, draw(RESEMBLING), known))
+                y.append(False)
     return Boosted(depth=4, rounds=60).fit(np.array(x), np.array(y, dtype=float)) if x else Boosted().fit(np.zeros((2, 8)), np.array([0.0, 0.0]))
 
 
@@ -403,6 +439,39 @@ def repaired(text: str, furniture: set[int], joins: dict[int, int], fixes: dict[
     return _TOKEN.sub(fix, "\n".join(joined))
 
 
+def misread_words(words: DataFrame, sampled: dict[str, int]) -> DataFrame:
+    """(word, fix) of the misread words of a table (word, df); ``sampled`` are common ones to learn from.
+
+    Rare words meet the common ones that share trigrams with them; every pair that misreadings alone explain is ranked.
+    """
+    spelled = words.where(~F.col("word").contains("-") & (F.char_length("word") >= 3)).withColumn("len", F.char_length("word"))
+
+    def with_grams(of: DataFrame, prefix: str) -> DataFrame:
+        padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+        starts = F.sequence(F.lit(1), F.col("len"))
+        exploded = of.withColumn("gram", F.explode(F.array_distinct(F.transform(starts, lambda k: F.substring(padded, k, F.lit(3))))))
+        return exploded.select("gram", *[F.col(c).alias(f"{prefix}_{c}") for c in ("word", "df", "len")])
+
+    counts = Grams({r["gram"]: r["n"] for r in with_grams(spelled, "w").groupBy("gram").agg(F.sum("w_df").alias("n")).collect()})
+    ranking = words.sparkSession.sparkContext.broadcast((learn_words({w: n for w, n in sampled.items() if "-" not in w}, counts), counts))
+    limit = spelled.agg(F.max("df")).first()[0] or 0
+    rare = with_grams(spelled.where((F.col("df") * RATIO <= limit) & (F.col("len") >= 4)), "r")
+    known = with_grams(spelled.where(F.col("df") >= COMMON), "c")
+    shared = rare.join(known, "gram").where((F.abs(F.col("r_len") - F.col("c_len")) <= 2) & (F.col("r_df") * RATIO <= F.col("c_df")))
+    shared = shared.groupBy("r_word", "r_df", "r_len", "c_word", "c_df").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= F.greatest(F.col("r_len") - 5, F.lit(1)))
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, grams_ = ranking.value
+        for batch in batches:
+            pairs = [p for p in zip(*(batch.column(c).to_pylist() for c in ("r_word", "r_df", "c_word", "c_df"))) if explained(p[0], p[2])[1] == 0]
+            scores = model.probability(np.array([pair_features(*p[:3], p[3] / p[1], grams_) for p in pairs], dtype=float)) if pairs else np.empty(0)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[2] for p in pairs], pa.string()), pa.array(scores, pa.float64())], names=["word", "fix", "score"])
+
+    ranked = shared.select("r_word", "r_df", "c_word", "c_df").mapInArrow(rank, "word string, fix string, score double").where("score > 0.5")
+    best = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("word").orderBy(F.desc("score"), "fix"))).where("rn = 1")
+    return cut(best.select("word", "fix"))
+
+
 def repair_scans(df: DataFrame, kind: str, key: str, text: str) -> DataFrame:
     """Columns (kind, key, n_furniture, n_joins, n_misread, original, repaired) of the records that bear traces of a scan.
 
@@ -430,34 +499,8 @@ def repair_scans(df: DataFrame, kind: str, key: str, text: str) -> DataFrame:
     sampled = {r["word"]: r["df"] for r in common.orderBy(F.xxhash64("word")).limit(SAMPLE_WORDS).collect()}
     records = rows.where((F.length("text") < 20000) & ~F.col("text").rlike(r"[\n\r]\S+[\n\r]")).orderBy(F.xxhash64("id")).limit(SAMPLE_RECORDS).select("text").collect()
     sentences = sorted({s.strip() for r in records for s in regex.split(r"(?<=[.!?])\s+", r["text"]) if 30 < len(s) < 200 and "\n" not in s and s[:1].isupper()})
-    ranking = spark.sparkContext.broadcast(learn_words({w: n for w, n in sampled.items() if "-" not in w}))
     line_models = spark.sparkContext.broadcast(learn_lines(sentences, sampled))
-
-    # misread words: rare words against common ones that share trigrams
-    spelled = words.where(~F.col("word").contains("-") & (F.char_length("word") >= 3)).withColumn("len", F.char_length("word"))
-
-    def with_grams(of: DataFrame, prefix: str) -> DataFrame:
-        padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-        starts = F.sequence(F.lit(1), F.col("len"))
-        exploded = of.withColumn("gram", F.explode(F.array_distinct(F.transform(starts, lambda k: F.substring(padded, k, F.lit(3))))))
-        return exploded.select("gram", *[F.col(c).alias(f"{prefix}_{c}") for c in ("word", "df", "len")])
-
-    limit = common.agg(F.max("df")).first()[0] or 0
-    rare = with_grams(spelled.where((F.col("df") * RATIO <= limit) & (F.col("len") >= 4)), "r")
-    known = with_grams(spelled.where(F.col("df") >= COMMON), "c")
-    shared = rare.join(known, "gram").where((F.abs(F.col("r_len") - F.col("c_len")) <= 2) & (F.col("r_df") * RATIO <= F.col("c_df")) & (F.col("r_df") <= 2 + F.col("c_df") / OFTEN))
-    shared = shared.groupBy("r_word", "r_df", "r_len", "c_word", "c_df").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= F.greatest(F.col("r_len") - 5, F.lit(1)))
-
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = ranking.value
-        for batch in batches:
-            pairs = [p for p in zip(*(batch.column(c).to_pylist() for c in ("r_word", "r_df", "c_word", "c_df"))) if explained(p[0], p[2])[1] == 0]
-            scores = model.probability(np.array([pair_features(*p) for p in pairs], dtype=float)) if pairs else np.empty(0)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[2] for p in pairs], pa.string()), pa.array(scores, pa.float64())], names=["word", "fix", "score"])
-
-    ranked = shared.select("r_word", "r_df", "c_word", "c_df").mapInArrow(rank, "word string, fix string, score double").where("score > 0.5")
-    best = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("word").orderBy(F.desc("score"), "fix"))).where("rn = 1")
-    fixes = cut(best.select("word", "fix"))
+    fixes = misread_words(words, sampled)
 
     # lines
     shape = "kind string, id string, furniture array<int>, breaks array<struct<line:int,next:int,first:string,mark:string,second:string,length:double>>, words array<string>"

@@ -123,3 +123,18 @@ def test_held_out_pages():
         hits += sum(a and b for a, b in zip(p, marked))
         wrong += sum(a and not b and bool(t.strip()) for a, b, t in zip(p, marked, lines))
     assert hits >= 0.85 * total and wrong <= 0.1 * total
+
+
+def test_misread_words_do_not_depend_on_the_size_of_the_corpus(spark):
+    counts = {w.strip(".,").lower(): 127 for s in SENTENCES for w in s.split()}
+    misread = {"5urvey": "survey", "imrnediately": "immediately", "wefland": "wetland", "cxplain": "explain"}
+    counts |= dict.fromkeys(misread, 2)
+
+    def fixes(times):
+        table = {w: n * times for w, n in counts.items()}
+        words = spark.createDataFrame(list(table.items()), "word string, df bigint")
+        return {r["word"]: r["fix"] for r in S.misread_words(words, {w: n for w, n in table.items() if n >= S.COMMON}).collect()}
+
+    small, large = fixes(1), fixes(10)
+    assert small == large
+    assert misread.items() <= large.items()
