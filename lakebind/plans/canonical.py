@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakebind.functions import text as T
@@ -15,6 +17,9 @@ TEXT_COLUMNS = ("text_id", "source_path", "source_extension", "text", "role", "p
 IMAGE_COLUMNS = ("image_id", "source_path", "source_extension", "image_path", "role", "description", "locator")
 TABLE_COLUMNS = ("table_id", "source_path", "source_extension", "parser", "role", "preview_text", "description", "columns", "llm_description", "locator")
 
+#: Characters of a field of a record, and of all contexts of a question, that are rendered (fixed values).
+FIELD_LIMIT, CONTEXT_LIMIT = 20_000, 60_000
+
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "canonical_texts").select(*TEXT_COLUMNS).distinct()
@@ -247,19 +252,66 @@ def evidence_paths(spark, folder):
     return rendered.select("source_path", F.explode(F.regexp_extract_all("context", F.lit(r"(?m)^Path:\s*(.+)$"), F.lit(1))).alias("path"))
 
 
+@F.udf("string")
+def _first_rows(rows):
+    """The first three sample rows as indented JSON."""
+    return json.dumps(rows[:3], ensure_ascii=False, indent=2) if rows else None
+
+
+def _field(label: str, value: Column) -> Column:
+    """A labelled field of a record, cut at ``FIELD_LIMIT`` characters; a blank one leaves its label, an empty one nothing."""
+    stripped = F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+    return F.when(F.coalesce(value, F.lit("")) != "", F.concat_ws("\n", F.lit(label), F.nullif(T.agent_truncate(stripped, FIELD_LIMIT), F.lit(""))))
+
+
+def render_contexts(texts_: DataFrame, tables_: DataFrame, images_: DataFrame) -> DataFrame:
+    """(source_path, context): every text, table and image record of a source, by kind and id; repeated records count once.
+
+    Only single fields are cut, at ``FIELD_LIMIT`` characters.
+    """
+    c, kept = F.col, lambda name, label: F.when(F.coalesce(name, F.lit("")) != "", F.concat(F.lit(label), F.col(name)))
+    columns = F.array_join(F.coalesce("columns", F.array().cast("array<string>")), ", ", "None")
+    sample, tail = _first_rows("sample_rows"), F.when(F.coalesce(F.size("sample_rows"), F.lit(0)) <= 0, _first_rows("tail_sample_rows"))
+    role, parser = kept("role", "Role: "), kept("parser", "Parser: ")
+    parts = (
+        (texts_, "text_id", "TEXT", [role, parser, _field("Text context:", c("text"))]),
+        (tables_, "table_id", "TABLE", [
+            role, parser, _field("Description:", c("description")), _field("Preview:", c("preview_text")), F.when(F.size("columns") > 0, F.concat_ws("\n", F.lit("Columns:"), F.nullif(columns, F.lit("")))),
+            _field("Sample rows:", sample), _field("Tail sample rows:", tail), _field("Enhanced description:", c("llm_description"))]),
+        (images_, "image_id", "IMAGE", [role, _field("Description:", c("description"))]),
+    )
+    records = None
+    for no, (rows, key, kind, fields) in enumerate(parts):
+        own = rows.select("source_path", F.lit(no).alias("no"), F.lit(kind).alias("kind"), c(key).alias("id"), F.concat_ws("\n", *fields).alias("body")).distinct()
+        records = own if records is None else records.unionByName(own)
+    records = records.where(F.trim(F.coalesce("source_path", F.lit(""))) != "")
+    bodies = F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("id", F.lit("")).alias("id"), "body"))), lambda x: x["body"])
+    sections = records.groupBy("source_path", "no", "kind").agg(F.concat(F.lit("["), F.col("kind"), F.lit(" CONTEXT]\n"), F.array_join(bodies, "\n\n")).alias("section"))
+    out = sections.groupBy("source_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("no", "section"))), lambda x: x["section"]).alias("l"))
+    return out.select("source_path", F.concat(F.lit("Path: "), F.col("source_path"), F.lit("\n"), F.array_join("l", "\n\n\n")).alias("context"))
+
+
+def budget_contexts(contexts: DataFrame, hits: DataFrame) -> DataFrame:
+    """(question_id, source_path, kept): the characters of each context within the budget of a question, over its sources by best score.
+
+    A source without records takes the length of the line that says so.
+    """
+    score = F.max(F.when(~F.isnan("score"), F.col("score")))
+    ranked = hits.where(F.col("question_id").isNotNull() & (F.coalesce("source_path", F.lit("")) != "")).groupBy("question_id", "source_path").agg(score.alias("score"))
+    absent = 2 * F.char_length("source_path") + len("Path: \nNo canonical context found for .")
+    sized = ranked.join(contexts.select("source_path", F.char_length("context").alias("n")), "source_path", "left").withColumn("n", F.coalesce("n", absent).cast("bigint"))
+    order = Window.partitionBy("question_id").orderBy(F.desc_nulls_last("score"), "source_path").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
+    return sized.select("question_id", "source_path", F.greatest(F.lit(0), F.least("n", F.lit(CONTEXT_LIMIT) - before)).cast("bigint").alias("kept")).where("kept > 0")
+
+
 def context_render(spark, folder):
-    rows = texts(spark, folder).select("source_path", "text_id", "text")
-    section = F.concat(F.lit("Path: "), F.col("source_path"), F.lit("\n"), F.substring(T.collapse(F.col("text")), 1, 400))
-    kept = rows.where(T.collapse(F.col("text")) != "").withColumn("rn", F.row_number().over(Window.partitionBy("source_path").orderBy("text_id"))).where("rn <= 3")
-    out = kept.groupBy("source_path").agg(F.array_sort(F.collect_list(F.struct("rn", section.alias("s")))).alias("l"))
-    return out.select("source_path", F.substring(F.array_join(F.transform("l", lambda x: x["s"]), "\n\n"), 1, 20000).alias("context"))
+    return render_contexts(*[table(spark, folder, f"canonical_{name}") for name in ("texts", "tables", "images")])
 
 
 def context_budget(spark, folder):
-    """How much of each context fits a running budget of 2,000 characters in every folder, in order of path."""
-    rows = context_render(spark, folder).select(F.split("source_path", "/")[0].alias("folder"), "source_path", F.char_length("context").cast("bigint").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("folder").orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.select("folder", "source_path", F.greatest(F.lit(0), F.least("n", F.lit(2000) - before)).alias("kept")).where("kept > 0")
+    """How much of each context fits the budget of every question, over the sources of its logged hits."""
+    return budget_contexts(context_render(spark, folder), table(spark, folder, "retrieval_hits"))
 
 
 def multikey_join(spark, folder):

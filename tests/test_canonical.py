@@ -125,3 +125,26 @@ def test_queries_and_sql_have_the_same_names():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_contexts_hold_all_records_and_fit_the_budget(spark):
+    from lakebind.plans import canonical as P
+
+    sample = "sample_rows array<map<string,string>>, tail_sample_rows array<map<string,string>>"
+    texts = spark.createDataFrame([(f"t{k}", "a.txt", "x" * 500 + f"\nend{k} ", "r", None) for k in range(5)] + [("t0", "a.txt", "x" * 500 + "\nend0 ", "r", None), ("long", "b.txt", "y" * 30000, "r", "p")], "text_id string, source_path string, text string, role string, parser string")
+    tables = spark.createDataFrame([("k", "a.txt", "r", "p", "about", "1,2", ["id", "v"], [{"id": "é"}], [{"id": "9"}], None), ("l", "a.txt", "r", "p", "", "", [], None, [{"id": "9"}], "more")], f"table_id string, source_path string, role string, parser string, description string, preview_text string, columns array<string>, {sample}, llm_description string")
+    images = spark.createDataFrame([("i", "a.txt", "photo", "a pond"), ("j", " ", "photo", "lost")], "image_id string, source_path string, role string, description string")
+    contexts = P.render_contexts(texts, tables, images)
+    got = {r["source_path"]: r["context"] for r in contexts.collect()}
+    text = "\n\n".join(f"Role: r\nText context:\n{'x' * 500}\nend{k}" for k in range(5))
+    first = 'Role: r\nParser: p\nDescription:\nabout\nPreview:\n1,2\nColumns:\nid, v\nSample rows:\n[\n  {\n    "id": "é"\n  }\n]'
+    second = 'Role: r\nParser: p\nTail sample rows:\n[\n  {\n    "id": "9"\n  }\n]\nEnhanced description:\nmore'
+    assert got["a.txt"] == f"Path: a.txt\n[TEXT CONTEXT]\n{text}\n\n\n[TABLE CONTEXT]\n{first}\n\n{second}\n\n\n[IMAGE CONTEXT]\nRole: photo\nDescription:\na pond"
+    assert got["b.txt"].endswith("y" * 19980 + "\n[... truncated ...]") and set(got) == {"a.txt", "b.txt"}
+    whole = {k: len(v) for k, v in got.items()}
+    hits = spark.createDataFrame([("q", "b.txt", 0.9), ("q", "none", 0.8), ("q", "a.txt", 0.7), ("q", "a.txt", float("nan")), ("q", "", 1.0), (None, "a.txt", 1.0)], "question_id string, source_path string, score double")
+    kept = {r["source_path"]: r["kept"] for r in P.budget_contexts(contexts, hits).collect()}
+    assert kept == {"b.txt": whole["b.txt"], "none": len("Path: none\nNo canonical context found for none."), "a.txt": whole["a.txt"]}
+    many = contexts.limit(0).unionByName(spark.createDataFrame([(f"s{k}", "z" * 25000) for k in range(4)], contexts.schema))
+    hits = spark.createDataFrame([("q", f"s{k}", 1.0 - k / 10) for k in range(4)], "question_id string, source_path string, score double")
+    assert {r["source_path"]: r["kept"] for r in P.budget_contexts(many, hits).collect()} == {"s0": 25000, "s1": 25000, "s2": 10000}
