@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakebind.functions import text as T
 from lakebind.operators import chunking as C
@@ -178,8 +179,10 @@ def table_analysis(spark, folder):
 
 
 def table_description(spark, folder):
-    rows = tables(spark, folder)
-    return rows.select("table_id", B.description(F.col("source_path"), F.lower(F.coalesce("source_extension", F.lit(""))), F.coalesce("parser", F.lit("")), F.lit(""), F.col("columns")).alias("described"))
+    rows = table(spark, folder, "canonical_tables")
+    described = B.description(
+        F.col("source_path"), F.lower(F.coalesce("source_extension", F.lit(""))), F.coalesce("parser", F.lit("")), F.col("metadata_text"), F.col("columns"), F.col("sample_rows"), F.col("tail_sample_rows"), F.col("table_shape"))
+    return rows.select("table_id", described.alias("described")).distinct()
 
 
 def table_profile(spark, folder):
@@ -252,7 +255,7 @@ def evidence_paths(spark, folder):
     return rendered.select("source_path", F.explode(F.regexp_extract_all("context", F.lit(r"(?m)^Path:\s*(.+)$"), F.lit(1))).alias("path"))
 
 
-@F.udf("string")
+@F.udf(StringType())
 def _first_rows(rows):
     """The first three sample rows as indented JSON."""
     return json.dumps(rows[:3], ensure_ascii=False, indent=2) if rows else None

@@ -148,3 +148,16 @@ def test_contexts_hold_all_records_and_fit_the_budget(spark):
     many = contexts.limit(0).unionByName(spark.createDataFrame([(f"s{k}", "z" * 25000) for k in range(4)], contexts.schema))
     hits = spark.createDataFrame([("q", f"s{k}", 1.0 - k / 10) for k in range(4)], "question_id string, source_path string, score double")
     assert {r["source_path"]: r["kept"] for r in P.budget_contexts(many, hits).collect()} == {"s0": 25000, "s1": 25000, "s2": 10000}
+
+
+def test_descriptions_have_samples_shape_and_metadata(spark):
+    rows = "array<map<string,string>>"
+    frame = spark.createDataFrame(
+        [("a.csv", ".csv", "p", " note\n", ["id"], [{"id": "é"}], [{"id": "9"}], '{"row_count": 4, "column_count": 1}'), ("b", "", "p", None, None, [{"id": "1"}], [{"id": "1"}], None), ("c", "", "p", "", [], None, [{"id": "x" * 6000}], "{}")],
+        f"path string, extension string, parser string, metadata string, columns array<string>, sample {rows}, tail {rows}, shape string")
+    got = {r[0]: r[1] for r in frame.select("path", B.description(*map(F.col, frame.columns))).collect()}
+    assert got["a.csv"] == (
+        "Source table: a.csv\n\nFile type: csv\n\nParser: p\n\nMetadata or explanation text before/around the table:\nnote\n\nColumn names: id\n\n"
+        'First sample rows:\n[\n  {\n    "id": "é"\n  }\n]\n\nLast sample rows:\n[\n  {\n    "id": "9"\n  }\n]\n\nObserved table shape/profile: {"column_count": 1, "row_count": 4}')
+    assert got["b"] == 'Source table: b\n\nFile type: table\n\nParser: p\n\nFirst sample rows:\n[\n  {\n    "id": "1"\n  }\n]'
+    assert len(got["c"].split("Last sample rows:\n")[1]) == 5000
