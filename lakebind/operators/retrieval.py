@@ -101,13 +101,18 @@ def top_sources(grouped: DataFrame, top_k: int) -> DataFrame:
     return ranked.drop("first")
 
 
-def bm25(corpus: DataFrame, questions: DataFrame, with_path: bool = False, chunk_k: int = CHUNK_K, top_k: int = TOP_K) -> DataFrame:
-    """Sources by BM25, optionally with the path's own BM25 added with its weight."""
+def bm25_hits(corpus: DataFrame, questions: DataFrame, with_path: bool = False, chunk_k: int = CHUNK_K) -> DataFrame:
+    """The ranked chunks from which ``bm25`` ranks sources."""
     scores = bm25_scores(corpus, questions, document())
     if with_path:
         path = bm25_scores(corpus, questions, F.replace(F.coalesce("source_path", F.lit("")), F.lit("/"), F.lit(" ")), floor=1.0)
         scores = scores.unionByName(path.withColumn("score", F.col("score") * PATH_WEIGHT)).groupBy("question_id", "chunk_id").agg(F.sum("score").alias("score"))
-    return by_source(top_chunks(scores.where("score > 0"), corpus, chunk_k), 0.05, 4, top_k)
+    return top_chunks(scores.where("score > 0"), corpus, chunk_k)
+
+
+def bm25(corpus: DataFrame, questions: DataFrame, with_path: bool = False, chunk_k: int = CHUNK_K, top_k: int = TOP_K) -> DataFrame:
+    """Sources by BM25, optionally with the path's own BM25 added with its weight."""
+    return by_source(bm25_hits(corpus, questions, with_path, chunk_k), 0.05, 4, top_k)
 
 
 def overlap(query: DataFrame, counts: DataFrame, idf: DataFrame | None, key: str) -> DataFrame:
@@ -126,8 +131,8 @@ def overlap(query: DataFrame, counts: DataFrame, idf: DataFrame | None, key: str
     return shared.join(query_norm, "question_id").join(norm, by).select("question_id", key, (F.col("s") / (F.col("qn") * F.col("dn"))).alias("overlap"))
 
 
-def lexical(corpus: DataFrame, questions: DataFrame, top_k: int = TOP_K) -> DataFrame:
-    """Sources by weighted lexical overlap of text and path, with bonuses for quoted spans, modality and extension.
+def lexical_hits(corpus: DataFrame, questions: DataFrame) -> DataFrame:
+    """Ranked chunks by weighted lexical overlap of text and path, with bonuses for quoted spans, modality and extension.
 
     Bonuses alone can carry a chunk over the threshold, so every chunk of a kind or extension that a question names is
     scored. That join is of a stated set of questions with all chunks: Spark broadcasts the questions if they are below
@@ -159,8 +164,12 @@ def lexical(corpus: DataFrame, questions: DataFrame, top_k: int = TOP_K) -> Data
 
     scores = by_path.union(by_text).union(bonuses).groupBy("question_id", "chunk_id").agg(F.sum("score").alias("score"))
     scores = scores.where(F.round("score", 9) >= LEAST)
-    hits = scores.join(corpus.select("chunk_id", "source_path"), "chunk_id").withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc(F.round("score", 9)), "chunk_id")))
-    return by_source(hits, AGGREGATE, 3, top_k)
+    return scores.join(corpus.select("chunk_id", "source_path"), "chunk_id").withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy(F.desc(F.round("score", 9)), "chunk_id")))
+
+
+def lexical(corpus: DataFrame, questions: DataFrame, top_k: int = TOP_K) -> DataFrame:
+    """Sources by the chunks of ``lexical_hits``."""
+    return by_source(lexical_hits(corpus, questions), AGGREGATE, 3, top_k)
 
 
 def vector_scores(vectors: DataFrame, queries: DataFrame) -> DataFrame:
@@ -181,7 +190,11 @@ def vector_scores(vectors: DataFrame, queries: DataFrame) -> DataFrame:
 
 def vector(vectors: DataFrame, queries: DataFrame, aggregation: str = "max_mean_top3", chunk_k: int = 200, top_k: int = TOP_K) -> DataFrame:
     """Sources by cosine of their chunks; ``vectors`` have chunk_id, source_path, source_kind, embedding."""
-    hits = top_chunks(vector_scores(vectors, queries), vectors, chunk_k)
+    return vector_sources(top_chunks(vector_scores(vectors, queries), vectors, chunk_k), aggregation, top_k)
+
+
+def vector_sources(hits: DataFrame, aggregation: str = "max_mean_top3", top_k: int = TOP_K) -> DataFrame:
+    """Sources by the ranked chunks of a vector search."""
     if aggregation == "legacy":
         return by_source(hits, 0.05, 4, top_k)
     if aggregation != "max_mean_top3":
@@ -206,26 +219,32 @@ def min_max(column: str, over: Window) -> Column:
 def heuristic_rerank(hits: DataFrame, ranking: DataFrame, corpus: DataFrame, questions: DataFrame, top_k: int = TOP_K) -> DataFrame:
     """Rerank sources by min-max normalised evidence: base score, best and mean chunk score, text and path overlap.
 
-    ``hits`` are the ranked chunks of ``top_chunks``; reasons name no two channels here, so that bonus is 0.
+    ``hits`` are the ranked chunks of the retrieval that made the ranking; with a column ``list``, the first three of a
+    source in each list count. A source without chunks keeps its place with features of 0. Where the ranking has
+    ``n_lists`` of ``fuse``, sources that both channels found get a bonus.
     """
-    own = Window.partitionBy("question_id", "source_path").orderBy("rank")
-    best = hits.join(ranking.select("question_id", "source_path"), ["question_id", "source_path"]).withColumn("rn", F.row_number().over(own)).where("rn <= 3")
-    texts = best.join(corpus.select("chunk_id", T.compact(F.col("text"), 900).alias("text")), "chunk_id")
+    hits = hits if "list" in hits.columns else hits.withColumn("list", F.lit(0))
+    source = Window.partitionBy("question_id", "source_path")
+    best = hits.join(ranking.select("question_id", "source_path"), ["question_id", "source_path"])
+    best = best.withColumn("rn", F.row_number().over(Window.partitionBy("question_id", "source_path", "list").orderBy("rank"))).where("rn <= 3")
+    best = best.withColumn("place", F.row_number().over(source.orderBy("list", "rn"))).withColumn("by_score", F.row_number().over(source.orderBy(F.desc("score"), "list", "rn")))
+    texts = best.join(corpus.select("chunk_id", T.compact(F.col("text"), 900).alias("text")), "chunk_id", "left")
     evidence = cut(texts.groupBy("question_id", "source_path").agg(
-        F.max("score").alias("max_chunk"), F.avg("score").alias("mean_chunk"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "text"))), lambda x: x["text"]), " ").alias("text")))
+        F.max("score").alias("max_chunk"), F.avg(F.when(F.col("by_score") <= 3, F.col("score"))).alias("mean_chunk"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= 3, F.struct("place", "text")))), lambda x: x["text"]), " ").alias("text")))
     query = query_tokens(questions)
 
-    def overlaps(of: Column, name: str) -> DataFrame:
-        tokens = T.with_tokens(evidence.select("question_id", "source_path", of.alias("of")), F.col("of")).select("question_id", "source_path", F.explode("tokens").alias("token"))
+    def overlaps(rows: DataFrame, of: Column, name: str) -> DataFrame:
+        tokens = T.with_tokens(rows.select("question_id", "source_path", of.alias("of")), F.col("of")).select("question_id", "source_path", F.explode("tokens").alias("token"))
         counts = tokens.groupBy("question_id", "source_path", "token").agg(F.count(F.lit(1)).alias("tf"))
         return overlap(query, counts, None, "source_path").withColumnRenamed("overlap", name)
 
     keys = ["question_id", "source_path"]
-    features = ranking.select(*keys, F.col("score").alias("base"), "source_rank").join(evidence.drop("text"), keys)
-    features = features.join(overlaps(F.col("text"), "text_overlap"), keys, "left").join(overlaps(F.col("source_path"), "path_overlap"), keys, "left").na.fill(0.0)
+    both = F.col("n_lists") > 1 if "n_lists" in ranking.columns else F.lit(0)
+    features = ranking.select(*keys, F.col("score").alias("base"), "source_rank", both.cast("double").alias("both")).join(evidence.drop("text"), keys, "left")
+    features = features.join(overlaps(evidence, F.col("text"), "text_overlap"), keys, "left").join(overlaps(ranking, F.col("source_path"), "path_overlap"), keys, "left").na.fill(0.0)
     per = Window.partitionBy("question_id")
-    score = 0.15 * min_max("base", per) + 0.40 * min_max("max_chunk", per) + 0.15 * min_max("mean_chunk", per) + 0.15 * min_max("text_overlap", per) + 0.10 * min_max("path_overlap", per)
+    score = 0.15 * min_max("base", per) + 0.40 * min_max("max_chunk", per) + 0.15 * min_max("mean_chunk", per) + 0.15 * min_max("text_overlap", per) + 0.10 * min_max("path_overlap", per) + 0.05 * F.col("both")
     return top_sources(features.select(*keys, score.alias("score"), F.col("source_rank").alias("first")), top_k)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakebind.operators import evaluation as E
 from lakebind.operators import retrieval as R
+from lakebind.storage import cut
 
 MODES = ("lexical", "bm25", "vector", "hybrid")
 RERANKERS = ("none", "heuristic", "scores")
@@ -78,16 +79,28 @@ class Pipeline:
         """Ranked sources of all questions (question_id, question, and embedding for vector modes)."""
         c = self.config
         k = c.rerank_candidate_k if c.rerank != "none" else c.top_k
-        lexical = lambda n: R.bm25(self.corpus, questions, with_path=True, top_k=n) if self.mode == "bm25" or (self.mode == "hybrid" and c.hybrid_lexical == "bm25") else R.lexical(self.corpus, questions, n)
-        vector = lambda n: R.vector(self.vectors, questions, c.vector_aggregation, c.vector_chunk_k, n)
+        by_bm25 = self.mode == "bm25" or (self.mode == "hybrid" and c.hybrid_lexical == "bm25")
+        kept = cut if c.rerank == "heuristic" else lambda df: df  # the reranker reads the chunks again
+
+        def lexical(n: int) -> tuple[DataFrame, DataFrame]:
+            hits = kept(R.bm25_hits(self.corpus, questions, with_path=True) if by_bm25 else R.lexical_hits(self.corpus, questions))
+            return hits, R.by_source(hits, 0.05, 4, n) if by_bm25 else R.by_source(hits, R.AGGREGATE, 3, n)
+
+        def vector(n: int) -> tuple[DataFrame, DataFrame]:
+            hits = kept(R.top_chunks(R.vector_scores(self.vectors, questions), self.vectors, c.vector_chunk_k))
+            return hits, R.vector_sources(hits, c.vector_aggregation, n)
+
         if self.mode == "vector":
-            ranking = vector(k)
+            hits, ranking = vector(k)
         elif self.mode == "hybrid":
-            ranking = R.fuse(lexical(c.hybrid_candidate_k), vector(c.hybrid_candidate_k), c.rrf_k, k, (c.lexical_weight, c.vector_weight))
+            channels = [lexical(c.hybrid_candidate_k), vector(c.hybrid_candidate_k)]
+            ranking = R.fuse(channels[0][1], channels[1][1], c.rrf_k, k, (c.lexical_weight, c.vector_weight))
+            columns = ("question_id", "chunk_id", "source_path", "score", "rank")
+            own = [h.join(r.select("question_id", "source_path"), ["question_id", "source_path"], "left_semi").select(*columns, F.lit(no).alias("list")) for no, (h, r) in enumerate(channels)]
+            hits = own[0].unionByName(own[1])
         else:
-            ranking = lexical(k)
+            hits, ranking = lexical(k)
         if c.rerank == "heuristic":
-            hits = R.top_chunks(R.bm25_scores(self.corpus, questions, R.document()), self.corpus, R.CHUNK_K)
             ranking = R.heuristic_rerank(hits, ranking, self.corpus, questions, c.top_k)
         elif c.rerank == "scores":
             ranking = R.score_rerank(ranking, self.scores, c.rerank_strategy, c.filter_keep_false_zero, c.top_k)

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakebind.plans import agent as A
 from lakebind.plans import pipeline as P
@@ -52,3 +53,22 @@ def test_agent_loop_and_resume(tmp_path):
     assert A.answer("q", "c", ["f"], fake, f"{tmp_path}/c") == "no"
     assert len(fake.prompts) == 1 + 3 * 5 + 1
     assert [A.route("", True), A.route("", False), A.route("go direct", True)] == ["CODE", "DIRECT", "DIRECT"]
+
+
+def test_heuristic_rerank_keeps_the_sources_of_its_own_retrieval(spark):
+    corpus = spark.createDataFrame([(c, f"x/{c}.txt", "text", "t", "f", t) for c, t in (("a", "alpha beta"), ("b", "credit loan"), ("d", "nothing shared"))], "chunk_id string, source_path string, source_kind string, source_role string, locator string, text string")
+    asked = spark.createDataFrame([("q1", "credit loan", [1.0, 0.0])], "question_id string, question string, embedding array<double>")
+    vectors = spark.createDataFrame([(c, f"x/{c}.txt", "text", v) for c, v in (("a", [1.0, 0.0]), ("b", [0.8, 0.6]), ("v", [0.6, 0.8]))], "chunk_id string, source_path string, source_kind string, embedding array<double>")
+
+    def scores(**k):
+        return {r["source_path"]: round(r["score"], 6) for r in P.Pipeline(P.configure(rerank="heuristic", **k), corpus, vectors).retrieve(asked).collect()}
+
+    by_vector = scores(mode="vector")
+    assert set(by_vector) == {"x/a.txt", "x/b.txt", "x/v.txt"}  # a and v share no token with the question
+    assert by_vector["x/a.txt"] == 0.7 and by_vector["x/v.txt"] == 0.0  # scored on their own cosines
+    both = scores(mode="hybrid")
+    assert set(both) == {"x/a.txt", "x/b.txt", "x/v.txt"}
+    assert both["x/b.txt"] == pytest.approx(0.15 + 0.4 + 0.15 + 0.15 + 0.05)  # found by both channels
+    kinds = spark.createDataFrame([("p", "y/p.csv", "table", "t", "f", "unrelated")], corpus.schema)
+    named = asked.withColumn("question", F.lit("which csv"))
+    assert P.Pipeline(P.configure(mode="lexical", rerank="heuristic"), kinds).retrieve(named).count() == 1
