@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lakebind.functions import text as T
 
 SIZE, OVERLAP = 1200, 150
+#: Characters of a preview that a table without a description is chunked by (a fixed value).
+PREVIEW = 6000
 
 
 def windows(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
@@ -30,23 +32,32 @@ def windows(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
 def chunk_records(records: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
     """Chunks of records (record_id, source_path, kind, role, locator, text, parser), with stable ids and embedding text.
 
+    A chunk's locator is its record's (``file``, ``image`` or ``table`` where that is empty) with the chunk's number.
     Records without id, path or text, and placeholders, give no chunk.
     """
     rows = records.where((F.coalesce("record_id", F.lit("")) != "") & (F.coalesce("source_path", F.lit("")) != "")).where(~T.is_placeholder(F.col("text"), F.col("parser")))
     rows = rows.withColumn("whole", T.collapse(F.col("text"))).where("whole != ''")
-    out = rows.select("record_id", "source_path", "kind", "role", "locator", F.explode(windows(F.col("whole"), size, overlap)).alias("w"))
+    base = F.coalesce(F.nullif("locator", F.lit("")), F.when(F.col("kind") == "text", "file").otherwise(F.col("kind")))
+    out = rows.select("record_id", "source_path", "kind", F.coalesce("role", F.lit("")).alias("role"), base.alias("base"), F.explode(windows(F.col("whole"), size, overlap)).alias("w"))
+    out = out.withColumn("locator", F.concat("base", F.lit(";chunk="), F.col("w.index").cast("string")))
     ids = T.stable_id(F.col("record_id"), F.col("kind"), F.col("w.index"), F.col("w.start_char"), F.col("w.end_char"), T.text_hash(F.col("w.piece")))
-    embedding_text = F.format_string("Source: %s\nType: %s\nRole: %s\nLocator: %s\n\n%s", F.col("source_path"), F.col("kind"), F.coalesce("role", F.lit("")), F.coalesce("locator", F.lit("")), F.col("w.piece"))
+    embedding_text = F.format_string("Source: %s\nType: %s\nRole: %s\nLocator: %s\n\n%s", "source_path", "kind", "role", "locator", "w.piece")
     return out.select(
-        ids.alias("chunk_id"), "source_path", F.col("kind").alias("source_kind"), F.col("record_id").alias("source_record_id"), F.coalesce("role", F.lit("")).alias("source_role"),
-        F.coalesce("locator", F.lit("")).alias("locator"), F.col("w.piece").alias("text"), embedding_text.alias("embedding_text"), "w.start_char", "w.end_char")
+        ids.alias("chunk_id"), "source_path", F.col("kind").alias("source_kind"), F.col("record_id").alias("source_record_id"), F.col("role").alias("source_role"),
+        "locator", F.col("w.piece").alias("text"), embedding_text.alias("embedding_text"), "w.start_char", "w.end_char")
 
 
 def table_text(path: Column, columns: Column, preview: Column, description: Column, llm: Column) -> Column:
-    """What a table is chunked by: model description and structured description, else path, columns and preview."""
-    blocks = F.concat_ws("\n\n", F.nullif(F.trim(F.coalesce(llm, F.lit(""))), F.lit("")), F.nullif(F.trim(F.coalesce(description, F.lit(""))), F.lit("")))
-    fallback = F.concat_ws("\n\n", path, F.nullif(F.array_join(F.coalesce(columns, F.array().cast("array<string>")), ", "), F.lit("")), F.nullif(F.substring(F.coalesce(preview, F.lit("")), 1, 6000), F.lit("")))
-    return F.when(blocks != "", blocks).otherwise(fallback)
+    """What a table is chunked by: its model description and its structured profile, else its path, columns and preview."""
+    def block(label: str, value: Column) -> Column:
+        value = F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)^\s+|\s+$", "")
+        return F.when(value != "", F.concat(F.lit(label), value))
+
+    described = F.concat_ws("\n\n", block("LLM table description:\n", llm), block("Structured table profile:\n", description))
+    head = F.substring(F.regexp_replace(F.coalesce(preview, F.lit("")), r"(?U)^\s+|\s+$", ""), 1, PREVIEW)
+    names = F.when(F.size(F.coalesce(columns, F.array().cast("array<string>"))) > 0, F.concat(F.lit("Column names: "), F.array_join(columns, ", ", "None")))
+    fallback = F.concat_ws("\n\n", F.concat(F.lit("Source table: "), F.coalesce(path, F.lit(""))), names, F.when(head != "", F.concat(F.lit("Preview:\n"), head)))
+    return F.when(described != "", described).otherwise(fallback)
 
 
 def cache_key(model: str) -> Column:
@@ -110,6 +121,12 @@ def embed(chunks: DataFrame, cache: DataFrame | None, provider: EmbeddingProvide
     return (fresh if known is None else known.select(*fresh.columns).unionByName(fresh)), rows
 
 
+def embedding_report(chunks: DataFrame, fresh: DataFrame, provider: EmbeddingProvider, batch: int = 32) -> DataFrame:
+    """One row: chunk_count, embedded_count, reused_count, generated_count, embedding_model, batch_size; ``fresh`` are the new cache rows of ``embed``."""
+    counts = chunks.agg(F.count(F.lit(1)).alias("chunk_count")).crossJoin(fresh.agg(F.count(F.lit(1)).alias("embedded_count")))
+    return counts.select("chunk_count", "embedded_count", (F.col("chunk_count") - F.col("embedded_count")).alias("reused_count"), F.col("chunk_count").alias("generated_count"), F.lit(provider.model).alias("embedding_model"), F.lit(batch).alias("batch_size"))
+
+
 def merge_by_key(rows: DataFrame, updates: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
     """``rows`` with ``columns`` taken from the last update of their key where there is one."""
     last = latest_by_key(updates, key, order).select(key, *[F.col(c).alias(f"new_{c}") for c in columns])

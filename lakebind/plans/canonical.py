@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from lakebind.functions import text as T
 from lakebind.operators import chunking as C
@@ -87,7 +86,7 @@ def route_extension(spark, folder):
 def _records(spark, folder):
     t = texts(spark, folder).select(F.col("text_id").alias("record_id"), "source_path", F.lit("text").alias("kind"), "role", "locator", "text", "parser")
     i = images(spark, folder).select(F.col("image_id").alias("record_id"), "source_path", F.lit("image").alias("kind"), "role", "locator", F.col("description").alias("text"), F.lit("").alias("parser"))
-    b = tables(spark, folder).select(F.col("table_id").alias("record_id"), "source_path", F.lit("table").alias("kind"), "role", "locator", C.table_text(F.col("source_path"), F.col("columns"), F.col("preview_text"), F.col("description"), F.col("llm_description")).alias("text"), F.lit("").alias("parser"))
+    b = tables(spark, folder).select(F.col("table_id").alias("record_id"), "source_path", F.lit("table").alias("kind"), "role", "locator", C.table_text(F.col("source_path"), F.col("columns"), F.col("preview_text"), F.col("description"), F.col("llm_description")).alias("text"), "parser")
     return t.unionByName(i).unionByName(b)
 
 
@@ -167,15 +166,15 @@ def _delimiter():
 
 
 def header_guess(spark, folder):
-    rows = tables(spark, folder).select("table_id", "preview_text")
-    return B.header_guess(B.cell_rows(rows, "table_id", "preview_text", _delimiter()), "table_id")
+    rows = tables(spark, folder).select("table_id", B.grid(F.col("preview_text"), _delimiter()).alias("grid"))
+    return rows.select("table_id", B.header_index(F.col("grid")).alias("header_index")).where("header_index IS NOT NULL")
 
 
 def table_analysis(spark, folder):
     rows = tables(spark, folder).select("table_id", "preview_text")
     out = B.analyze(rows, "table_id", "preview_text", _delimiter())
-    j = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), "¦")
-    return out.select("table_id", j(F.col("columns")).alias("columns"), j(F.col("first_row")).alias("first_row"), j(F.col("last_row")).alias("last_row"), "data_rows", "metadata_text")
+    shown = lambda c: F.array_join(F.transform(c, lambda row: F.array_join(row, "¦")), "\n").alias(c)
+    return out.select("table_id", F.array_join("columns", "¦").alias("columns"), shown("first_rows"), shown("last_rows"), "data_rows", "metadata_text")
 
 
 def table_description(spark, folder):
@@ -185,9 +184,12 @@ def table_description(spark, folder):
     return rows.select("table_id", described.alias("described")).distinct()
 
 
+PROFILED = (("customer", "c_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey"), ("nation", "n_nationkey"), ("region", "r_regionkey"))
+
+
 def table_profile(spark, folder):
-    parts = [B.profile(table(spark, folder, name), key, name) for name, key in (("supplier", "s_suppkey"), ("nation", "n_nationkey"), ("region", "r_regionkey"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("table_name", "n_columns", "n_rows", "position")
+    parts = [B.profile(table(spark, folder, name), key, name) for name, key in PROFILED]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 SCRIPTS = [("a", "CREATE TABLE class_scores(student_id INTEGER, class_name TEXT, math_score REAL); INSERT INTO class_scores VALUES (1)"), ("b", "select x from t1 join `s.t2` on a update [q set z = 1"), ("c", "nothing here"), ("d", "Create  table \"Quoted\" (id INT, d DATE)")]
@@ -252,13 +254,7 @@ def final_answer_extract(spark, folder):
 def evidence_paths(spark, folder):
     """The paths on lines that start with ``Path:`` in the context rendered for each source."""
     rendered = context_render(spark, folder)
-    return rendered.select("source_path", F.explode(F.regexp_extract_all("context", F.lit(r"(?m)^Path:\s*(.+)$"), F.lit(1))).alias("path"))
-
-
-@F.udf(StringType())
-def _first_rows(rows):
-    """The first three sample rows as indented JSON."""
-    return json.dumps(rows[:3], ensure_ascii=False, indent=2) if rows else None
+    return rendered.select("source_path", F.explode(F.regexp_extract_all("context", F.lit(r"(?dm)^Path:\s*(.+)$"), F.lit(1))).alias("path"))
 
 
 def _field(label: str, value: Column) -> Column:
@@ -274,7 +270,8 @@ def render_contexts(texts_: DataFrame, tables_: DataFrame, images_: DataFrame) -
     """
     c, kept = F.col, lambda name, label: F.when(F.coalesce(name, F.lit("")) != "", F.concat(F.lit(label), F.col(name)))
     columns = F.array_join(F.coalesce("columns", F.array().cast("array<string>")), ", ", "None")
-    sample, tail = _first_rows("sample_rows"), F.when(F.coalesce(F.size("sample_rows"), F.lit(0)) <= 0, _first_rows("tail_sample_rows"))
+    shown = lambda name: F.when(F.size(name) > 0, B.json_rows(F.slice(name, 1, 3)))
+    sample, tail = shown("sample_rows"), F.when(F.coalesce(F.size("sample_rows"), F.lit(0)) <= 0, shown("tail_sample_rows"))
     role, parser = kept("role", "Role: "), kept("parser", "Parser: ")
     parts = (
         (texts_, "text_id", "TEXT", [role, parser, _field("Text context:", c("text"))]),
@@ -365,6 +362,10 @@ def _placeholder(text: str, parser: str) -> str:
     return f"(contains(lower(coalesce({parser}, '')), 'placeholder') OR regexp_matches(lower(substring(regexp_replace(coalesce({text}, ''), '^{_WS}+', ''), 1, 300)), 'available at|is disabled|not implemented|did not produce text'))"
 
 
+def _strip(text: str) -> str:
+    return f"regexp_replace(coalesce({text}, ''), '^{_WS}+|{_WS}+$', '', 'g')"
+
+
 def _in(column: str, values: str) -> str:
     return f"{column} IN ({', '.join(repr(v) for v in values.split())})"
 
@@ -372,23 +373,44 @@ def _in(column: str, values: str) -> str:
 _RECORDS = rf"""{_TEXTS}, {_IMAGES}, {_TABLES},
     records AS (SELECT text_id AS record_id, source_path, 'text' AS kind, role, locator, text, parser FROM texts UNION ALL
         SELECT image_id, source_path, 'image', role, locator, description, '' FROM images UNION ALL
-        SELECT table_id, source_path, 'table', role, locator, CASE WHEN blocks <> '' THEN blocks ELSE concat_ws(E'\n\n', source_path, nullif(array_to_string(coalesce(columns, []), ', '), ''), nullif(substring(coalesce(preview_text, ''), 1, 6000), '')) END, ''
-        FROM (SELECT *, concat_ws(E'\n\n', nullif(trim(coalesce(llm_description, '')), ''), nullif(trim(coalesce(description, '')), '')) AS blocks FROM tabs)),
+        SELECT table_id, source_path, 'table', role, locator, CASE WHEN model = '' AND profile = '' THEN concat_ws(E'\n\n', 'Source table: ' || coalesce(source_path, ''), CASE WHEN len(columns) > 0 THEN 'Column names: ' || array_to_string(columns, ', ') END, CASE WHEN preview <> '' THEN E'Preview:\n' || substring(preview, 1, 6000) END)
+            WHEN model = '' THEN E'Structured table profile:\n' || profile WHEN profile = '' THEN E'LLM table description:\n' || model ELSE E'LLM table description:\n' || model || E'\n\nStructured table profile:\n' || profile END, parser
+        FROM (SELECT *, {_strip('llm_description')} AS model, {_strip('description')} AS profile, {_strip('preview_text')} AS preview FROM tabs)),
     whole AS (SELECT *, {T.sql_collapse('text')} AS w FROM records WHERE coalesce(record_id, '') <> '' AND coalesce(source_path, '') <> '' AND NOT {_placeholder('text', 'parser')}),
     cuts AS (SELECT *, unnest(range(0, CASE WHEN length(w) <= 1200 THEN 1 ELSE ceil((length(w) - 1200) / 1050.0e0)::BIGINT + 1 END)) AS k FROM whole WHERE w <> ''),
     pieces AS (SELECT *, (k * 1050)::INT AS start_char, least(k * 1050 + 1200, length(w))::INT AS end_char, substring(w, k * 1050 + 1, 1200) AS piece FROM cuts),
     chunks AS (SELECT substring(sha1(concat_ws('::', record_id, kind, k, start_char, end_char, sha256(piece))), 1, 24) AS chunk_id, record_id AS source_record_id, kind AS source_kind, start_char, end_char,
-        'Source: ' || source_path || E'\nType: ' || kind || E'\nRole: ' || coalesce(role, '') || E'\nLocator: ' || coalesce(locator, '') || E'\n\n' || piece AS embedding_text FROM pieces)"""
+        printf(E'Source: %s\nType: %s\nRole: %s\nLocator: %s;chunk=%d\n\n%s', source_path, kind, coalesce(role, ''), CASE WHEN coalesce(locator, '') <> '' THEN locator WHEN kind = 'text' THEN 'file' ELSE kind END, k, piece) AS embedding_text FROM pieces)"""
 
 _DELIMITER = "CASE WHEN contains(coalesce(preview_text, ''), chr(9)) THEN chr(9) WHEN contains(coalesce(preview_text, ''), ' | ') THEN '|' ELSE ',' END"
 _CELLS = rf"""{_TABLES}, lines AS (SELECT table_id, d, unnest(l) AS line, generate_subscripts(l, 1) AS no FROM (SELECT table_id, {_DELIMITER} AS d, string_split_regex(coalesce(preview_text, ''), '\r?\n') AS l FROM tabs)),
-    cells AS (SELECT table_id, no, list_transform(string_split(line, d), lambda c: trim(c)) AS cells FROM lines),
+    cells AS (SELECT table_id, no, list_transform(string_split(line, d), lambda c: {_strip('c')}) AS cells FROM lines),
     grid AS (SELECT table_id, row_number() OVER (PARTITION BY table_id ORDER BY no) - 1 AS idx, cells, list_filter(cells, lambda c: c <> '') AS own FROM cells WHERE len(list_filter(cells, lambda c: c <> '')) > 0),
     scored AS (SELECT *, len(own) AS n, coalesce(lead(len(own)) OVER (PARTITION BY table_id ORDER BY idx), 0) AS next_n FROM grid),
-    points AS (SELECT table_id, idx, n + len(list_filter(own, lambda c: regexp_matches(c, '[A-Za-z_À-ỹ]'))) + (len(list_distinct(list_transform(own, lambda c: lower(c)))) = len(own))::INT + (next_n >= greatest(2, n // 2))::INT AS score FROM scored WHERE idx < 20 AND n >= 2),
+    points AS (SELECT table_id, idx, n + len(list_filter(own, lambda c: regexp_matches(c, '[A-Za-z_À-ỹ]'))) + (len(list_distinct(own)) = len(own))::INT + (next_n >= greatest(2, n // 2))::INT AS score FROM scored WHERE idx < 20 AND n >= 2),
     guess AS (SELECT table_id, idx::INT AS header_index FROM points QUALIFY row_number() OVER (PARTITION BY table_id ORDER BY score DESC, idx) = 1)"""
-_CONTEXT = rf"""{_TEXTS}, ctx AS (SELECT source_path, substring(string_agg('Path: ' || source_path || E'\n' || substring(c, 1, 400), E'\n\n' ORDER BY rn), 1, 20000) AS context FROM
-    (SELECT source_path, c, row_number() OVER (PARTITION BY source_path ORDER BY text_id) AS rn FROM (SELECT source_path, text_id, {T.sql_collapse('text')} AS c FROM texts) WHERE c <> '') WHERE rn <= 3 GROUP BY source_path)"""
+_ROWS = r"""'[' || chr(10) || array_to_string(list_transform({}, lambda m: CASE WHEN len(map_keys(m)) = 0 THEN '  {{}}' ELSE '  {{' || chr(10)
+    || array_to_string(list_transform(map_entries(m), lambda e: '    ' || to_json(e.key)::VARCHAR || ': ' || coalesce(to_json(e.value)::VARCHAR, 'null')), ',' || chr(10)) || chr(10) || '  }}' END), ',' || chr(10)) || chr(10) || ']'"""
+
+
+def _shown(label: str, value: str) -> str:
+    """A labelled field of a rendered record."""
+    cut = f"CASE WHEN length(x) <= 20000 THEN x ELSE regexp_replace(substring(x, 1, 19980), '{_WS}+$', '') || E'\\n[... truncated ...]' END"
+    return f"CASE WHEN coalesce({value}, '') <> '' THEN concat_ws(chr(10), '{label}', (SELECT nullif({cut}, '') FROM (SELECT {_strip(value)} AS x))) END"
+
+
+def _kept(column: str, label: str) -> str:
+    return f"'{label}' || nullif({column}, '')"
+
+
+_CONTEXT = rf"""bodies AS (
+        SELECT source_path, 0 AS no, 'TEXT' AS kind, text_id AS id, concat_ws(chr(10), {_kept('role', 'Role: ')}, {_kept('parser', 'Parser: ')}, {_shown('Text context:', 'text')}) AS body FROM canonical_texts
+        UNION SELECT source_path, 1, 'TABLE', table_id, concat_ws(chr(10), {_kept('role', 'Role: ')}, {_kept('parser', 'Parser: ')}, {_shown('Description:', 'description')}, {_shown('Preview:', 'preview_text')},
+            CASE WHEN len(columns) > 0 THEN concat_ws(chr(10), 'Columns:', nullif(array_to_string(columns, ', '), '')) END, {_shown('Sample rows:', 'sample')}, {_shown('Tail sample rows:', 'tail')}, {_shown('Enhanced description:', 'llm_description')})
+            FROM (SELECT *, CASE WHEN len(sample_rows) > 0 THEN {_ROWS.format('sample_rows[1:3]')} END AS sample, CASE WHEN coalesce(len(sample_rows), 0) = 0 AND len(tail_sample_rows) > 0 THEN {_ROWS.format('tail_sample_rows[1:3]')} END AS tail FROM canonical_tables)
+        UNION SELECT source_path, 2, 'IMAGE', image_id, concat_ws(chr(10), {_kept('role', 'Role: ')}, {_shown('Description:', 'description')}) FROM canonical_images),
+    sections AS (SELECT source_path, no, '[' || kind || ' CONTEXT]' || chr(10) || string_agg(body, E'\n\n' ORDER BY coalesce(id, ''), body) AS section FROM bodies WHERE trim(coalesce(source_path, '')) <> '' GROUP BY source_path, no, kind),
+    ctx AS (SELECT source_path, 'Path: ' || source_path || chr(10) || string_agg(section, E'\n\n\n' ORDER BY no) AS context FROM sections GROUP BY source_path)"""
 
 
 def _values(rows: list[tuple], names: str) -> str:
@@ -406,6 +428,12 @@ _ANSWER = r"trim(CASE WHEN regexp_extract(reply, '(?is)<final_answer>(.*?)</fina
 _EXT = r"lower(regexp_extract(source_path, '(\.[^./]+)$', 1))"
 _HINTS = ", ".join(f"CASE WHEN list_has_any(tokens, {T.sql_list(w)}) THEN '{k}' END" for k, w in R.MODALITIES.items())
 
+def _profile_sql(name: str, key: str, columns: str) -> str:
+    fields = ", ".join(f"'{c}': coalesce({c}::VARCHAR, '')" for c in columns.split())
+    return f"""SELECT '{name}' AS table_name, {len(columns.split())}::BIGINT AS n_columns, n AS n_rows, position, to_json({{{fields}}})::VARCHAR AS row_json
+        FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY {key}) AS position FROM {name}) WHERE position <= 5 OR position > n - 5"""
+
+
 SQL = {
     "tokenize_counts": f"SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest({T.sql_raw_tokens('text')}) AS token FROM documents) GROUP BY ALL",
     "tokenize_synonyms": f"WITH {_ASKED} SELECT question_id, len(t) AS n_tokens, array_to_string({T.sql_synonyms('t')}, ',') AS added FROM (SELECT question_id, {T.sql_raw_tokens('question')} AS t FROM asked)",
@@ -438,15 +466,26 @@ SQL = {
     "enrichment_select": f"WITH {_IMAGES} SELECT image_id, source_path FROM images WHERE (starts_with(source_path, 'reports/') OR starts_with(source_path, 'photos/')) AND length(coalesce(description, '')) < 40",
     "enrichment_merge": f"WITH {_IMAGES} SELECT image_id, CASE WHEN image_id < '2' THEN 'second ' || image_id WHEN image_id < '4' THEN 'first ' || image_id ELSE coalesce(description, '') END AS description FROM images",
     "header_guess": f"WITH {_CELLS} SELECT * FROM guess",
-    "table_analysis": rf"""WITH {_CELLS}, placed AS (SELECT g.*, header_index FROM grid g LEFT JOIN guess USING (table_id)),
+    "table_analysis": rf"""WITH RECURSIVE {_CELLS}, placed AS (SELECT g.*, header_index FROM grid g LEFT JOIN guess USING (table_id)),
         heads AS (SELECT table_id, CASE WHEN header_index IS NULL THEN list_transform(cells, lambda c: '') ELSE cells END AS h FROM placed WHERE idx = coalesce(header_index, 0)),
-        filled AS (SELECT table_id, list_transform(h, lambda c, i: CASE WHEN trim(regexp_replace(c, '\s+', ' ', 'g')) = '' THEN 'column_' || i ELSE trim(regexp_replace(c, '\s+', ' ', 'g')) END) AS p FROM heads),
-        names AS (SELECT table_id, list_transform(p, lambda c, i: CASE WHEN list_contains(p[1:i-1], c) THEN c || '_' || i ELSE c END) AS columns FROM filled)
-        SELECT table_id, array_to_string(any_value(columns), '¦') AS columns, coalesce(array_to_string(arg_min(cells, idx) FILTER (WHERE idx > coalesce(header_index, -1)), '¦'), '') AS first_row, coalesce(array_to_string(arg_max(cells, idx) FILTER (WHERE idx > coalesce(header_index, -1)), '¦'), '') AS last_row,
-        count(*) FILTER (WHERE idx > coalesce(header_index, -1)) AS data_rows, coalesce(string_agg(array_to_string(own, ' | '), E'\n' ORDER BY idx) FILTER (WHERE idx < header_index), '') AS metadata_text FROM placed JOIN names USING (table_id) GROUP BY table_id""",
-    "table_description": rf"WITH {_TABLES} SELECT table_id, concat_ws(E'\n\n', 'Source table: ' || source_path, 'File type: ' || coalesce(nullif(ltrim(regexp_replace(lower(coalesce(source_extension, '')), '^\.', '')), ''), 'table'), 'Parser: ' || coalesce(parser, ''), CASE WHEN len(coalesce(columns, [])) > 0 THEN 'Column names: ' || array_to_string(columns[1:80], ', ') END) AS described FROM tabs",
-    "table_profile": """WITH all_rows AS (SELECT 'supplier' AS table_name, 4 AS n_columns, row_number() OVER (ORDER BY s_suppkey) AS position FROM supplier UNION ALL SELECT 'nation', 3, row_number() OVER (ORDER BY n_nationkey) FROM nation UNION ALL SELECT 'region', 2, row_number() OVER (ORDER BY r_regionkey) FROM region)
-        SELECT table_name, n_columns::BIGINT AS n_columns, n_rows, position FROM (SELECT *, count(*) OVER (PARTITION BY table_name) AS n_rows FROM all_rows) WHERE position <= 5 OR position > n_rows - 5""",
+        filled AS (SELECT table_id, list_transform(h, lambda c, i: coalesce(nullif(trim(regexp_replace(c, '{_WS}+', ' ', 'g')), ''), 'column_' || i)) AS p FROM heads),
+        naming AS (SELECT table_id, p, 0 AS i, []::VARCHAR[] AS columns FROM filled UNION ALL
+            SELECT table_id, p, i + 1, list_append(columns, CASE WHEN list_contains(columns, p[i + 1]) THEN p[i + 1] || '_' || (i + 1) ELSE p[i + 1] END) FROM naming WHERE i < len(p)),
+        names AS (SELECT table_id, columns FROM naming WHERE i = len(p)),
+        numbered AS (SELECT table_id, idx, own, columns, header_index, idx - coalesce(header_index + 1, 0) AS place, count(*) OVER (PARTITION BY table_id) - coalesce(header_index + 1, 0) AS data_rows,
+            array_to_string(list_transform(range(1, len(columns) + 1), lambda k: coalesce(cells[k], '')), '¦') AS shown FROM placed JOIN names USING (table_id)),
+        found AS (SELECT table_id, array_to_string(any_value(columns), '¦') AS columns, string_agg(shown, E'\n' ORDER BY idx) FILTER (WHERE place BETWEEN 0 AND 4) AS first_rows,
+            string_agg(shown, E'\n' ORDER BY idx) FILTER (WHERE place >= greatest(0, data_rows - 5)) AS last_rows, any_value(data_rows) AS data_rows,
+            string_agg(array_to_string(own, ' | '), E'\n' ORDER BY idx) FILTER (WHERE idx < header_index) AS metadata_text FROM numbered GROUP BY table_id)
+        SELECT table_id, coalesce(columns, '') AS columns, coalesce(first_rows, '') AS first_rows, coalesce(last_rows, '') AS last_rows, coalesce(data_rows, 0)::BIGINT AS data_rows, coalesce(metadata_text, '') AS metadata_text FROM (SELECT table_id FROM tabs) LEFT JOIN found USING (table_id)""",
+    "table_description": rf"""SELECT DISTINCT table_id, concat_ws(E'\n\n', 'Source table: ' || source_path, 'File type: ' || coalesce(nullif(ltrim(regexp_replace(lower(coalesce(source_extension, '')), '^\.', '')), ''), 'table'), 'Parser: ' || coalesce(parser, ''),
+        E'Metadata or explanation text before/around the table:\n' || substring(nullif({_strip('metadata_text')}, ''), 1, 2500), CASE WHEN len(columns) > 0 THEN 'Column names: ' || array_to_string(columns[1:80], ', ') END,
+        CASE WHEN len(sample_rows) > 0 THEN E'First sample rows:\n' || substring({_ROWS.format('sample_rows')}, 1, 5000) END,
+        CASE WHEN len(tail_sample_rows) > 0 AND tail_sample_rows IS DISTINCT FROM sample_rows THEN E'Last sample rows:\n' || substring({_ROWS.format('tail_sample_rows')}, 1, 5000) END,
+        'Observed table shape/profile: ' || substring('{{' || array_to_string(list_transform(list_sort(json_keys(nullif(table_shape, '{{}}'))), lambda k: to_json(k)::VARCHAR || ': ' || json_extract(table_shape, k)::VARCHAR), ', ') || '}}', 1, 2500)) AS described FROM canonical_tables""",
+    "table_profile": " UNION ALL ".join(_profile_sql(*parts) for parts in (
+        ("customer", "c_custkey", "c_custkey c_name c_nationkey c_acctbal c_mktsegment"), ("part", "p_partkey", "p_partkey p_name p_brand p_type p_size p_retailprice"),
+        ("supplier", "s_suppkey", "s_suppkey s_name s_nationkey s_acctbal"), ("nation", "n_nationkey", "n_nationkey n_name n_regionkey"), ("region", "r_regionkey", "r_regionkey r_name"))),
     "sql_sniff": rf"""SELECT script_id, array_to_string(list_sort(list_distinct(regexp_extract_all(body, '(?i)\b(?:CREATE\s+TABLE|FROM|JOIN|INTO|UPDATE)\s+[`"\[]?([A-Za-z_][\w.]*)', 1))), ',') AS tables, array_to_string(list_sort(list_distinct(regexp_extract_all(body, '(?i)\b([A-Za-z_]\w*)\s+(?:INTEGER|INT|REAL|TEXT|VARCHAR|DATE|FLOAT|DOUBLE|BOOLEAN|NUMERIC)\b', 1))), ',') AS columns FROM {_values(SCRIPTS, 'script_id, body')}""",
     "markdown_captions": rf"SELECT doc, array_to_string(list_filter(list_transform(regexp_extract_all(body, '!\[([^\]]*)\]\(([^)]+)\)', 1), lambda a: trim(a)), lambda a: a <> ''), '|') AS captions FROM {_values(CAPTIONS, 'doc, body')}",
     "source_summary": f"""WITH {_TEXTS}, {_IMAGES}, {_TABLES}, rows AS (SELECT source_path, 'text' AS kind, text_id AS id, 3 AS cap FROM texts UNION ALL SELECT source_path, 'image', image_id, 4 FROM images UNION ALL SELECT source_path, 'table', table_id, 6 FROM tabs),
@@ -458,8 +497,10 @@ SQL = {
     "final_answer_extract": rf"SELECT run, {_ANSWER} AS answer, regexp_extract(reply, '(?s)```(?:\w+)?\n(.*?)```', 1) AS code FROM {_values(RUNS, 'run, reply, evidence')}",
     "evidence_paths": rf"WITH {_CONTEXT} SELECT source_path, unnest(regexp_extract_all(context, '(?m)^Path:\s*(.+)$', 1)) AS path FROM ctx",
     "context_render": f"WITH {_CONTEXT} SELECT * FROM ctx",
-    "context_budget": f"""WITH {_CONTEXT}, sized AS (SELECT string_split(source_path, '/')[1] AS folder, source_path, length(context) AS n FROM ctx)
-        SELECT folder, source_path, kept::BIGINT AS kept FROM (SELECT folder, source_path, greatest(0, least(n, 2000 - coalesce(sum(n) OVER (PARTITION BY folder ORDER BY source_path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS kept FROM sized) WHERE kept > 0""",
+    "context_budget": f"""WITH {_CONTEXT}, ranked AS (SELECT question_id, source_path, max(CASE WHEN NOT isnan(score) THEN score END) AS score FROM retrieval_hits WHERE question_id IS NOT NULL AND source_path <> '' GROUP BY ALL),
+        sized AS (SELECT question_id, source_path, score, coalesce(length(context), 2 * length(source_path) + length('Path: ') + length('No canonical context found for .') + 1) AS n FROM ranked LEFT JOIN ctx USING (source_path)),
+        spent AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY question_id ORDER BY score DESC NULLS LAST, source_path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized)
+        SELECT question_id, source_path, greatest(0, least(n, 60000 - before))::BIGINT AS kept FROM spent WHERE least(n, 60000 - before) > 0""",
     "multikey_join": f"""WITH {_TEXTS}, k1 AS (SELECT DISTINCT source_path, unnest([p, regexp_replace(p, '^[^/]*/', ''), string_split(p, '/')[-1]]) AS key FROM (SELECT source_path, replace(lower(source_path), chr(92), '/') AS p FROM source_catalog)),
         k2 AS (SELECT DISTINCT text_id, unnest([p, regexp_replace(p, '^[^/]*/', ''), string_split(p, '/')[-1]]) AS key FROM (SELECT text_id, replace(lower(source_path), chr(92), '/') AS p FROM texts)) SELECT DISTINCT source_path, text_id FROM k1 JOIN k2 USING (key)""",
     "html_strip_regex": f"SELECT doc_id, sha1({T.sql_collapse('b')}) AS stripped_sha FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS b FROM documents WHERE contains(text, '</'))",
