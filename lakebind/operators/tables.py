@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Rows among which the header is sought, and rows of a sample (fixed values).
 HEAD, SAMPLES = 20, 5
@@ -110,7 +111,7 @@ def sheet_rollup(sheets: DataFrame, key: str, name: str, rows: str) -> DataFrame
     shape = F.struct(F.col("s_").alias("sheet_name"), F.col("columns"), F.size("first_rows").alias("sample_row_count"), F.coalesce("header_index", F.lit(0)).alias("metadata_row_count"), F.size("g_").alias("observed_row_count"))
     note = F.when(F.col("metadata_text") != "", F.concat(F.lit("Sheet "), F.col("s_"), F.lit(": "), F.col("metadata_text")))
     parts = own.select("k_", F.struct("s_", F.col("columns").alias("c"), tagged("first_rows").alias("a"), tagged("last_rows").alias("b"), shape.alias("shape"), note.alias("note")).alias("x"))
-    listed = parts.groupBy("k_").agg(F.array_sort(F.collect_list(F.struct(F.col("x.s_").alias("o"), F.col("x.c").alias("c"), F.transform("x.a", F.to_json).alias("a"), F.transform("x.b", F.to_json).alias("b"), F.col("x.shape").alias("shape"), F.col("x.note").alias("note")))).alias("l"))
+    listed = parts.groupBy("k_").agg(F.array_sort(F.collect_list(F.struct(F.col("x.s_").alias("o"), F.col("x.c").alias("c"), F.transform("x.a", lambda m: F.to_json(m)).alias("a"), F.transform("x.b", lambda m: F.to_json(m)).alias("b"), F.col("x.shape").alias("shape"), F.col("x.note").alias("note")))).alias("l"))
     field = lambda f: F.transform("l", lambda x: x[f])
     every = F.flatten(field("b"))
     return listed.select(
@@ -143,7 +144,7 @@ def json_rows(rows: Column) -> Column:
     return F.concat(F.lit("[\n"), F.array_join(F.transform(rows, row), ",\n"), F.lit("\n]"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sorted_json(texts: pd.Series) -> pd.Series:
     """JSON with its keys in order, blanks after commas and colons; what is no JSON is taken as a string; nothing gives null."""
     def one(text: str | None) -> str | None:
