@@ -1,3 +1,4 @@
+import difflib
 import random
 
 import numpy as np
@@ -70,6 +71,66 @@ def test_wrong_encodings_round_trip(spark):
     assert M.repair_encoding(frame.limit(0), "record_kind", "record_id", "source", "text").count() == 0
 
 
+def _sources(languages, dice, n=260):
+    """Sentences of made clauses in several languages, as a source has them."""
+    return [" ".join(dice.choices(languages, k=4)) for _ in range(n)]
+
+
+FRENCH = (
+    "Après l’été, señor Müller", "le théâtre a été complété", "à cause du précis léger", "la façade coûte déjà cher", "l’élève préfère même la forêt", "où le maître était né", "ce château âgé s’est arrêté", "le récit fut très général",
+    "die Straße wurde geprüft", "für die Bücherei über Nacht", "schöne Türen wären größer", "el año español señaló más", "también mejoró el índice histórico", "una montaña única según él",
+)
+TONED = ("người dân cần chỉ số đầy đủ", "trước tháng sáu năm nay", "bảng điểm được lưu ở thư viện", "phần còn lại là dự án đặc biệt", "khoản vay chính thức bị từ chối", "bến cảng ổn định với kho hàng", "đoàn tàu hiếm gặp trong khi", "nhà kính điện tử đã đóng cửa")
+
+
+def _swapped(spark, pages, languages, share=0.25):
+    """(found, restored, clean found, clean) of a corpus in which each source has texts with one swap of pages."""
+    dice = random.Random(5)
+    rows, truth = [], {}
+    for name, swap in pages.items():
+        for k, text in enumerate(_sources(languages, dice)):
+            shown = swap(text) if k < share * 260 else text
+            rows.append(("text", f"{name}{k}", name, shown))
+            if shown != text:
+                truth[f"{name}{k}"] = text
+    frame = spark.createDataFrame(rows, "kind string, id string, source string, text string")
+    out = {r["id"]: r for r in M.repair_encoding(frame, "kind", "id", "source", "text").where("wrong").collect()}
+    by = {}
+    for name in pages:
+        own = {i: t for i, t in truth.items() if i.rstrip("0123456789") == name}
+        same = [difflib.SequenceMatcher(None, out[i]["restored"], t, False).ratio() for i, t in own.items() if i in out]
+        by[name] = (len(own), sum(i in out for i in own), sum(same) / max(1, len(own)))
+    return by, len(set(out) - set(truth))
+
+
+def test_swaps_of_other_pages_are_learned(spark):
+    """UTF-8 read as pages of one and of two bytes, and pages of single bytes read as others."""
+    read = lambda raw, page: raw.decode(page, "replace")
+    pages = {
+        "greek": lambda t: read(t.encode(), "cp1253"), "dos": lambda t: read(t.encode("cp1252"), "cp437"), "mac": lambda t: read(t.encode("cp1252"), "mac_roman"), "cyrillic": lambda t: read(t.encode("cp1252"), "cp1251"),
+        "western": lambda t: read(t.encode("mac_roman"), "cp1252"), "gbk": lambda t: read(t.replace("’", "").encode(), "gbk"), "japanese": lambda t: read(t.replace("’", "").encode(), "cp932"),
+    }
+    by, wrongly = _swapped(spark, pages, FRENCH)
+    assert all(found >= 0.9 * n for n, found, _ in by.values()) and wrongly <= 0.02 * 7 * 260
+    assert all(by[name][2] >= 0.9 for name in ("greek", "dos", "mac", "cyrillic", "western"))
+
+
+def test_an_invented_page_is_learned_from_bigrams(spark):
+    """Bytes shown by characters that no page of Python's has there."""
+    shown = "".join(chr(c) for c in range(0x10A0, 0x10A0 + 128))
+    swap = lambda t: "".join(chr(b) if b < 128 else shown[b - 128] for b in t.encode())
+    by, wrongly = _swapped(spark, {"invented": swap}, FRENCH + TONED, 0.5)
+    n, found, same = by["invented"]
+    assert found == n and same >= 0.9 and wrongly == 0
+
+
+def test_ciphers_joined_by_source_give_the_same(spark):
+    rows = [("text", f"c{k}", f"f{k % 3}", CLEAN[k % 5]) for k in range(200)] + [("text", f"b{k}", f"f{k % 3}", CLEAN[k % 5].encode().decode("latin-1")) for k in range(60)]
+    frame = spark.createDataFrame(rows, "k string, i string, s string, t string")
+    sent, joined = (sorted(map(tuple, M.repair_encoding(frame, "k", "i", "s", "t", sent).collect())) for sent in (M.SENT, 0))
+    assert sent == joined and len(sent) >= 48
+
+
 def scanned(dice, text):
     words, lines, now = text.split(), [], ""
     for w in words:
