@@ -57,22 +57,59 @@ LEAST, BETWEEN = 2e-3, 1e-3
 #: Factor of the letters that no page votes for where some page knows the whole sequence, and what a vote adds to a letter.
 UNVOTED, VOTED = 0.005, 0.05
 TONES = "̣̀́̃̉"
-_WORDY = r"\p{L}\p{M}"
 _CONTROL = regex.compile("[\x80-\x84\x86-\x9f�]")
 _RUN = regex.compile("[^\x00-\x7f]+")
-_FOREIGN = r"\p{Cyrillic}\p{Greek}\p{Han}\p{Hangul}\p{Hiragana}\p{Katakana}\p{Arabic}\p{Hebrew}\p{Thai}\p{Armenian}\p{Georgian}"
-_SIGN = r"\p{S}\p{No}\p{Lm}ªº­¡§¶¿†-•‰"
-#: Neighbours that ordinary text hardly has: signs within words, capitals after small letters, two scripts in one word.
-_ODD = regex.compile(
-    rf"[\x80-\x84\x86-\x9f�]|(?<=[{_WORDY}])(?![\x00-\x7f])[{_SIGN}‚-„‘“‹›«](?=\p{{L}})"
-    rf"|(?<=\p{{Ll}})(?![\x00-\x7f])\p{{Lu}}|(?<=(?![\x00-\x7f])\p{{Ll}})\p{{Lu}}|(?<=(?![\x00-\x7f])\p{{L}})(?![\x00-\x7f])[{_SIGN}]|(?<=(?![\x00-\x7f])[{_SIGN}])\p{{Ll}}"
-    rf"|(?<=\p{{Latin}})[{_FOREIGN}─-▟]|(?<=[{_FOREIGN}─-▟])\p{{Latin}}|(?<=(?![\x00-\x7f])\p{{S}})(?![\x00-\x7f])[^\p{{S}}\p{{Z}}]"
-)
+_WORDY, _LETTER, _SMALL, _CAPITAL, _BEYOND, _SIGN, _SYMBOL, _BLANK, _LATIN, _FOREIGN, _LOST, _QUOTE = (1 << k for k in range(12))
+#: Beside symbols, what a wrong reading leaves next to letters (ordinals, stops, daggers), and quotes within words.
+_MARKS, _QUOTES = set("ªº­¡§¶¿†‡•‰¹²³¼½¾"), set("‚„‘“‹›«")
+_OTHER_SCRIPTS = ("CYRILLIC", "GREEK", "CJK", "HANGUL", "HIRAGANA", "KATAKANA", "HALFWIDTH", "ARABIC", "HEBREW", "THAI", "ARMENIAN", "GEORGIAN", "BOX", "BLOCK", "LIGHT SHADE", "MEDIUM SHADE", "DARK SHADE")
+
+
+@functools.cache
+def _classes() -> np.ndarray:
+    """What each character of the basic plane is, as bits; the last entry is for all others."""
+    out = np.zeros(0x10001, dtype=np.uint16)
+    for code in range(0x10000):
+        c, kind = chr(code), unicodedata.category(chr(code))
+        bits = _BEYOND if code > 127 else 0
+        bits |= (_LETTER if kind[0] == "L" else 0) | (_WORDY if kind[0] in "LM" else 0) | (_SMALL if kind == "Ll" else 0) | (_CAPITAL if kind == "Lu" else 0)
+        bits |= (_SYMBOL if kind[0] == "S" else 0) | (_BLANK if kind[0] == "Z" or code < 33 else 0)
+        bits |= _SIGN if code > 127 and (kind[0] == "S" or kind == "Lm" or c in _MARKS) else 0
+        bits |= _QUOTE if c in _QUOTES else 0
+        bits |= _LOST if 0x80 <= code < 0xA0 and code != 0x85 or c == LOST else 0
+        name = unicodedata.name(c, "") if code > 127 or kind[0] == "L" else ""
+        bits |= (_LATIN if kind[0] == "L" and name.startswith("LATIN") else 0) | (_FOREIGN if name.startswith(_OTHER_SCRIPTS) else 0)
+        out[code] = bits
+    out[-1] = _BEYOND | _SYMBOL | _SIGN
+    return out
+
+
+def odd_texts(texts: list[str]) -> np.ndarray:
+    """Which texts hold neighbours that ordinary text hardly has; such texts teach no bigrams.
+
+    Signs within words or after letters beyond ASCII, capitals after small letters where one is beyond ASCII, two scripts
+    in one word, symbols before other characters beyond ASCII, and control characters.
+    """
+    found = np.zeros(len(texts), dtype=bool)
+    which = [k for k, text in enumerate(texts) if not text.isascii()]
+    if not which:
+        return found
+    raw = [(" " + texts[k] + " ").encode("utf-32-le", "replace") for k in which]
+    bits = _classes()[np.minimum(np.frombuffer(b"".join(raw), dtype=np.uint32), 0x10000)]
+    before, here, after = bits[:-2], bits[1:-1], bits[2:]
+    has = lambda of, *wanted: of & sum(wanted) == sum(wanted)
+    odd_ = has(here, _LOST) | (has(before, _WORDY) & (here & (_SIGN | _QUOTE) != 0) & has(after, _LETTER))
+    odd_ |= has(before, _SMALL) & has(here, _CAPITAL) & ((before | here) & _BEYOND != 0)
+    odd_ |= has(before, _LETTER, _BEYOND) & has(here, _SIGN) | has(before, _SIGN, _BEYOND) & has(here, _SMALL)
+    odd_ |= has(before, _LATIN) & has(here, _FOREIGN) | has(before, _FOREIGN) & has(here, _LATIN)
+    odd_ |= has(before, _SYMBOL, _BEYOND) & has(here, _BEYOND) & (here & (_SYMBOL | _BLANK) == 0)
+    ends = np.cumsum([len(r) // 4 for r in raw])
+    found[np.array(which)[np.unique(np.searchsorted(ends, np.flatnonzero(odd_) + 1, side="right"))]] = True
+    return found
 
 
 def odd(text: str) -> bool:
-    """Whether a text holds neighbours that ordinary text hardly has; such texts teach no bigrams."""
-    return not text.isascii() and _ODD.search(text) is not None
+    return bool(odd_texts([text])[0])
 
 
 @functools.cache
@@ -174,7 +211,9 @@ class Cipher:
         """
         spans, at = [], 0
         while at < len(run):
-            width = self.widths.get(run[at]) or page_width(run[at : at + 4])
+            width, by_page = self.widths.get(run[at]), page_width(run[at : at + 4])
+            if width is None or by_page > 1 and width > 1 and not voted_letters(run[at : at + width]):
+                width = by_page
             end = min(at + width, len(run))
             symbol = run[at:end]
             if len(symbol) == width - 1 and LOST not in symbol and end == len(run) and after[:1] == " ":
@@ -263,7 +302,7 @@ class Cipher:
 
     def read(self, symbol: str, l2: str, l1: str, right: str, trusting: bool) -> str:
         """The reading of a symbol between its neighbours: what it stands for in its source, or itself where that fits better."""
-        key = (symbol, l2, l1, right, trusting)
+        key = (symbol, l2 if len(symbol) == 1 else "", l1, right, trusting)
         if key not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
@@ -511,8 +550,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     contexts: Counter = Counter()
     for batch in batches:
         clean: dict[str, list[str]] = {}
-        for source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if odd(text):
+        whole = batch.column(1).to_pylist()
+        for source, text, is_odd in zip(batch.column(0).to_pylist(), whole, odd_texts(whole)):
+            if is_odd:
                 for match in _RUN.finditer(text):
                     a, b = match.span()
                     run = match.group()
@@ -598,7 +638,8 @@ def _restored(spark: SparkSession, rows: DataFrame, ciphers: DataFrame, lm, sent
         for batch in batches:
             out = []
             given = batch.column("cipher").to_pylist() if shared.value is None else [None] * batch.num_rows
-            for k, i, source, text, own in zip(*(batch.column(c).to_pylist() for c in ("kind", "id", "source", "text")), given):
+            whole = batch.column("text").to_pylist()
+            for k, i, source, text, own, is_odd in zip(*(batch.column(c).to_pylist() for c in ("kind", "id", "source")), whole, given, odd_texts(whole)):
                 if text.isascii():
                     continue
                 if source not in ready:
@@ -609,7 +650,7 @@ def _restored(spark: SparkSession, rows: DataFrame, ciphers: DataFrame, lm, sent
                     longest = sorted(cipher.sequences, key=lambda s: (-len(s), s))
                     ready[source] = cipher, regex.compile("|".join(map(regex.escape, longest))) if longest else None
                 cipher, sequences = ready[source]
-                if odd(text) or sequences is not None and sequences.search(text):
+                if is_odd or sequences is not None and sequences.search(text):
                     restored, wrong = restore(text, cipher)
                     out.append((k, i, wrong, text, restored))
             columns = list(zip(*out)) if out else [()] * 5
