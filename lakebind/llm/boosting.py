@@ -8,8 +8,9 @@ import numpy as np
 class Boosted:
     """Trees of a fixed depth fitted to the gradient of the logistic loss, over features cut into quantile bins."""
 
-    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, least: int = 20):
-        self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
+    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, least: int = 20, rows: int = 20_000):
+        """``rows`` is how many rows each tree sees at most, drawn anew for every tree."""
+        self.rounds, self.depth, self.rate, self.bins, self.least, self.rows = rounds, depth, rate, bins, least, rows
         self.edges: list[np.ndarray] = []
         self.trees: list[list[tuple[int, int, float]]] = []
         self.start = 0.0
@@ -21,10 +22,11 @@ class Boosted:
         self.edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, self.bins + 1)[1:-1])) for k in range(x.shape[1])]
         binned, share = self._binned(x), np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.start = float(np.log(share / (1 - share)))
-        score = np.full(len(y), self.start)
+        score, dice = np.full(len(y), self.start), np.random.default_rng(3)
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-score))
-            tree = self._grow(binned, y - p, p * (1 - p))
+            seen = dice.choice(len(y), self.rows, replace=False) if len(y) > self.rows else slice(None)
+            tree = self._grow(binned[seen], (y - p)[seen], (p * (1 - p))[seen])
             self.trees.append(tree)
             score += self._tree(tree, binned)
         return self
@@ -42,10 +44,12 @@ class Boosted:
             if 2 * at + 2 >= len(nodes) or len(own) < 2 * self.least:
                 continue
             best = (1e-6, -1, 0)
+            mine = binned[own]
             for k in range(binned.shape[1]):
                 size = len(self.edges[k]) + 1
-                n = np.cumsum(np.bincount(binned[own, k], minlength=size))[:-1]
-                a, b = (np.cumsum(np.bincount(binned[own, k], weights=w, minlength=size))[:-1] for w in (s, c))
+                column = mine[:, k]
+                n = np.cumsum(np.bincount(column, minlength=size))[:-1]
+                a, b = (np.cumsum(np.bincount(column, weights=w, minlength=size))[:-1] for w in (s, c))
                 gain = a**2 / (b + 1) + (s.sum() - a) ** 2 / (c.sum() - b + 1) - s.sum() ** 2 / (c.sum() + 1)
                 gain = np.where((n >= self.least) & (len(own) - n >= self.least), gain, -1)
                 if len(gain) and gain.max() > best[0]:
