@@ -57,6 +57,8 @@ _NUMBER = r"(?:[\dlOoISBi]{1,4}|[ivxlcdm1]{1,7})"
 _LABEL = r"(?:p\.|pp\.|pg\.|page|seite|s\.|trang|pág\.|página)"
 _PAGE = regex.compile(rf"^[\s\-–—|\[(~•*=_]*(?:{_LABEL}\s*)?({_NUMBER})(?:\s*(?:/|of|de|von|sur)\s*{_NUMBER})?[\s\-–—|\])~•*=_]*$", regex.I)
 _TAIL = regex.compile(rf"^(.*\S)\s{{3,}}([\-–—|\[( ]*(?:{_LABEL}\s*)?{_NUMBER}(?:\s*(?:/|of|de|von|sur)\s*{_NUMBER})?[\s\-–—|\])]*)$", regex.I)
+_ITEM, _HEADED, _FIGURES = regex.compile(r"\d+[.)]\s"), regex.compile(r"\p{L}+ \d+:"), regex.compile(r"[\dlOoISBivxcdm]+")
+_MARK_SET = frozenset(MARKS)
 _ENDS = frozenset(".!?…:;\"”’»)")
 _DIGITS = frozenset("0123456789lOoISBivxcdmIVXLCDM")
 _APART = str.maketrans(dict.fromkeys("\"“”'’‘([,;:¿¡«/–—-)]»", " "))
@@ -77,7 +79,7 @@ def _word(token: str) -> str | None:
 
 def words_of(text: str) -> set[str]:
     """Words of a text in lower case, without parts of file names and codes and without the halves of broken words."""
-    if any(m in text for m in MARKS):
+    if text[-1:] in MARKS or any(m + after in text for m in MARKS for after in ("\n", " \n", "\r\n", "\t\n")):
         text = _BROKEN_END.sub(" ", text)
     return {w for w in map(_word, set(text.translate(_APART).split())) if w}
 
@@ -238,7 +240,7 @@ def _page_like(line: str) -> tuple[str, int, str] | None:
     value = page_value(part) if match or len(line) < 40 else None
     if value is None:
         return None
-    return ("tail:" if match else "own:") + regex.sub(r"[\dlOoISBivxcdm]+", "9", part.strip().lower()), value, match.group(1) if match else ""
+    return ("tail:" if match else "own:") + _FIGURES.sub("9", part.strip().lower()), value, match.group(1) if match else ""
 
 
 #: Features of a line.
@@ -331,8 +333,8 @@ def line_features(pages: list[list[str]]) -> np.ndarray:
         near_page |= inside & paged[other]
         near_repeats = np.maximum(near_repeats, np.where(inside, repeats[other], 0))
     blank_before, blank_after = (at > start) & ~shown[np.maximum(at - 1, 0)], (at + 1 < end) & ~shown[np.minimum(at + 1, total - 1)]
-    bullet = np.array([t[:1] in ("#", "├", "│", "└", "•", "*", "-") or t[:1].isdigit() and bool(regex.match(r"\d+[.)]\s", t)) for t in texts])
-    mark = np.array([t.endswith(":") or bool(regex.match(r"\p{L}+ \d+:", t)) for t in texts])
+    bullet = np.array([t[:1] in ("#", "├", "│", "└", "•", "*", "-") or t[:1].isdigit() and bool(_ITEM.match(t)) for t in texts])
+    mark = np.array([t.endswith(":") or ":" in t and bool(_HEADED.match(t)) for t in texts])
     upper = np.array([t.isupper() for t in texts])
     # of all forms of one line together: how many cut a sentence, and how far they are apart
     forms = _numbered([(k, "", f[0]) if f and not f[2] else (k, g) for k, g, f in zip(of.tolist(), folded, found)])
@@ -356,8 +358,10 @@ def break_candidates(lines: list[str], skipped: np.ndarray) -> list[tuple[int, i
     """(line, following line, first half, mark, second half) where a line may end in a broken word; furniture is passed over."""
     out = []
     for k, line in enumerate(lines):
+        if line.rstrip()[-1:] not in _MARK_SET or skipped[k]:
+            continue
         match = _BREAK.search(line)
-        if not match or skipped[k]:
+        if not match:
             continue
         j = k + 1
         while j < len(lines) and (skipped[j] or not lines[j].strip()):
