@@ -20,7 +20,7 @@ from lakebind.storage import cut, shuffle_partitions
 
 #: Share of the capacity from which a container is closed.
 NEARLY = 0.995
-#: Most open containers that one task takes.
+#: Most items or open containers that one task takes.
 IN_TASK = 200_000
 
 
@@ -95,7 +95,7 @@ def pack(df: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
 
     # an item's name is its key and piece; a container that goes on is named by its number
     kind = dict(items.dtypes)["k"]
-    parts = shuffle_partitions(spark)
+    parts = max(shuffle_partitions(spark), -(-items.count() // IN_TASK))
     level, opened = 1, rest.select(F.col("k").alias("name"), F.col("piece_size").alias("size"))
     placed = cut(opened.repartition(parts, "name").mapInArrow(packed(1), f"name {kind}, container bigint, filled bigint"))
     where = placed

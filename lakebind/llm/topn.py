@@ -1,10 +1,12 @@
 """The N best items of every group, by simultaneous bisection of per-group cutoffs.
 
-Every item gets an order-preserving code: a list of doubles, the score first, then the tie text in blocks of six
-bytes, then the id. All groups search for the code of their N-th item at once. A round divides the open interval
-of each group's current code element by ``fanout - 1`` midpoints, counts the rows above each, and keeps the part
-in which the N-th item lies; an interval of one value moves the group to the next element. A group is done when
-its cutoff holds exactly N rows, so it never sorts, and rows out of the interval leave the following rounds.
+Every item has an order-preserving integer code: the bits of its score, then the tie text in blocks of six bytes, then the
+id, each part small enough to be exact in a double. All groups search for the code of their N-th item at once. A round
+divides the open interval of each group's current part by ``fanout - 1`` midpoints, counts the rows above each, and keeps
+the piece in which the N-th item lies; an interval of one value moves the group on, past all that its remaining texts have
+in common. A part is worked out only for the groups that have come to it, from one expression whatever the length of the
+texts. A group is done when its cutoff holds exactly N rows, so it never sorts, and rows out of the interval leave the
+following rounds.
 """
 
 from __future__ import annotations
@@ -18,36 +20,48 @@ from pyspark.sql import types as T
 from lakebind.storage import cut, shuffle_partitions
 
 BLOCK = 6
-
-
-def _text_levels(column: Column, longest: int) -> list[Column]:
-    """Codes of which larger ones come first; a null text comes after all others."""
-    raw = F.encode(column, "utf-8")
-    levels = [
-        F.when(column.isNull(), F.lit(-float(2**49))).otherwise(
-            -F.conv(F.rpad(F.hex(F.substring(raw, 1 + k * BLOCK, BLOCK)), 2 * BLOCK, "0"), 16, 10).cast("double")
-        )
-        for k in range(-(-longest // BLOCK))
-    ]
-    return [*levels, F.when(column.isNull(), F.lit(-float(2**49))).otherwise(-F.octet_length(column).cast("double"))]
-
-
-def _number_levels(column: Column) -> list[Column]:
-    number = column.cast("bigint")
-    low = number.bitwiseAND(F.lit(0xFFFFFFFF))
-    return [F.coalesce(-F.shiftright(number, 32).cast("double"), F.lit(-float(2**49))), F.coalesce(-low.cast("double"), F.lit(-float(2**49)))]
-
-
-def _levels(score: str, tie: str, item: str, types: dict[str, T.DataType], longest: dict[str, int]) -> list[Column]:
-    infinite = F.when(F.col(score) == float("inf"), 1.0).when(F.col(score) == -float("inf"), -1.0).otherwise(0.0)
-    levels = [infinite, F.when(F.abs(F.col(score)) == float("inf"), 0.0).otherwise(F.col(score) + F.lit(0.0))]
-    for name in (tie, item):
-        levels += _text_levels(F.col(name), longest[name]) if isinstance(types[name], T.StringType) else _number_levels(F.col(name))
-    return levels
-
-
-def _pick(levels: list[Column], index: Column) -> Column:
-    return reduce(lambda rest, k: F.when(index == k, levels[k]).otherwise(rest), reversed(range(len(levels))), F.lit(0.0))
+#: The code of a null, after all others.
+LAST = -float(2**49)
+
+
+class _Code:
+    """The parts of the code: two of the score, then those of the tie, then those of the item; larger ones come first."""
+
+    def __init__(self, types: dict[str, T.DataType], longest: dict[str, int]):
+        self.text = {c: isinstance(types[c], T.StringType) for c in ("t", "i")}
+        self.blocks = {c: -(-longest[c] // BLOCK) + 1 if self.text[c] else 2 for c in ("t", "i")}
+        self.size = 2 + self.blocks["t"] + self.blocks["i"]
+
+    def part(self, k: Column, t: Column | None = None, i: Column | None = None) -> Column:
+        """Part ``k`` (a column) of a row's code."""
+        t, i, first = F.col("t") if t is None else t, F.col("i") if i is None else i, 2 + self.blocks["t"]
+        score = F.when(k == 0, F.shiftright("o", 32)).otherwise(F.col("o").bitwiseAND(F.lit(0xFFFFFFFF))).cast("double")
+        return F.when(k < 2, score).when(k < first, self._of("t", t, k - 2)).otherwise(self._of("i", i, k - first))
+
+    def _of(self, name: str, value: Column, block: Column) -> Column:
+        if self.text[name]:
+            raw = F.hex(F.substring(F.encode(value, "utf-8"), block * BLOCK + 1, F.lit(BLOCK)))
+            number = F.when(block < self.blocks[name] - 1, F.conv(F.rpad(raw, 2 * BLOCK, "0"), 16, 10).cast("double")).otherwise(F.octet_length(value).cast("double"))
+        else:
+            number = F.when(block == 0, F.shiftright(value.cast("bigint"), 32)).otherwise(value.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))).cast("double")
+        return F.coalesce(-number, F.lit(LAST))
+
+    def common(self, low: Column, high: Column, name: str) -> Column:
+        """The block in which the texts between ``low`` and ``high`` first differ; for equal ones the number of blocks."""
+        if not self.text[name]:
+            return F.lit(0)
+        a, b = F.encode(low, "utf-8"), F.encode(high, "utf-8")
+        same = F.least(F.octet_length(low), F.octet_length(high))
+        blocks = F.sequence(F.lit(0), F.floor(same / BLOCK).cast("int"))
+        here = lambda x, k: F.substring(x, k * BLOCK + 1, F.lit(BLOCK))
+        differing = F.filter(blocks, lambda k: here(a, k) != here(b, k))
+        return F.when(low.isNull() | high.isNull(), 0).when(low == high, self.blocks[name]).otherwise(F.coalesce(F.get(differing, F.lit(0)), F.lit(self.blocks[name] - 1)))
+
+
+def _ordered_bits(score: Column) -> Column:
+    """The bits of a double as an integer of the same order."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), score + F.lit(0.0)).cast("bigint")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
 
 
 def top_n_per_group(df: DataFrame, group: str, score: str, tie: str, item: str, n: int, fanout: int = 128) -> DataFrame:
@@ -78,60 +92,69 @@ def top_n_per_group(df: DataFrame, group: str, score: str, tie: str, item: str,
     hot = counts.where(F.col("c") > share).select("g", F.least(F.ceil(F.col("c") / F.lit(share)), F.lit(4 * parts)).cast("int").alias("salts"))
 
     salted = rows.join(F.broadcast(hot), "g", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("i").cast("bigint"), F.col("salts")).cast("int"), F.lit(0)))
-    base = cut(salted.repartition(parts, "g", "salt").groupBy("g", "salt", "i", "t").agg(F.max("s").alias("s")))
+    base = cut(salted.repartition(parts, "g", "salt").groupBy("g", "salt", "i", "t").agg(F.max("s").alias("s")).withColumn("o", _ordered_bits(F.col("s"))))
 
     def to_rows(state: DataFrame) -> DataFrame:
         """A group's state, once for each part of a hot group, partitioned as the rows are."""
         spread = state.join(F.broadcast(hot), "g", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
         return spread.drop("salts").repartition(parts, "g", "salt")
 
-    levels = _levels("s", "t", "i", types, longest)
-    first = base.groupBy("g").agg(
-        F.count(F.lit(1)).alias("c"), *[f(levels[k]).alias(f"{name}{k}") for k in (0, 1) for name, f in (("mn", F.min), ("mx", F.max))])
+    code = _Code(types, {c: longest.get(c, 0) for c in ("t", "i")})
+    none = F.array().cast("array<double>")
+    top, low = code.part(F.lit(0)), code.part(F.lit(1))
+    first = base.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min(top).alias("mn0"), F.max(top).alias("mx0"), F.min(low).alias("mn1"), F.max(low).alias("mx1"))
     one = F.col("mn0") == F.col("mx0")
     first = cut(first.select(
         "g", "c", F.lit(n).cast("bigint").alias("need"), F.lit(-1).alias("at"), F.lit(0.0).alias("above"), F.lit(0.0).alias("below"),
-        F.when(one, F.array("mn0")).otherwise(F.array().cast("array<double>")).alias("prefix"), F.when(one, 1).otherwise(0).alias("lvl"),
+        F.when(one, F.array("mn0")).otherwise(none).alias("prefix"), F.when(one, 1).otherwise(0).alias("lvl"),
         F.when(one, F.col("mn1")).otherwise(F.col("mn0")).alias("lo"), F.when(one, F.col("mx1")).otherwise(F.col("mx0")).alias("hi")))
-    done = [first.where(F.col("c") <= n).select("g", F.array().cast("array<double>").alias("prefix"))]
+    done = [first.where(F.col("c") <= n).select("g", none.alias("prefix"))]
     state = first.where(F.col("c") > n).drop("c")
-    active, open_groups = base.withColumn("code", F.array(*levels[:2])), state.count()
-    coded = False
+    active, open_groups, rounds = base, state.count(), 0
+    start_item = 2 + code.blocks["t"]
     while open_groups:
-        code = lambda k: F.get(F.col("code"), k)
-        joined = active.select("g", "salt", "s", "t", "i", "code").join(to_rows(state.drop("prefix")).hint("merge"), ["g", "salt"])
-        kept = joined.where((F.col("at") < 0) | code(F.col("at")).between(F.col("above"), F.col("below")))
-        if active is not base and not coded and len(done) > 1:
-            kept, coded = kept.withColumn("code", F.array(*levels)), True
-        active = cut(kept) if len(done) > 1 else kept
-        here = code(F.col("lvl"))
+        joined = active.select("g", "salt", "s", "t", "i", "o").join(to_rows(state.drop("prefix")).hint("merge"), ["g", "salt"])
+        kept = joined.where((F.col("at") < 0) | code.part(F.col("at")).between(F.col("above"), F.col("below")))
+        active = cut(kept) if rounds else kept
+        rounds += 1
+        valued = active.withColumn("here", code.part(F.col("lvl"))).withColumn("following", F.when(F.col("lvl") == 0, low).otherwise(0.0))
         width = F.col("hi") - F.col("lo")
-        part = F.when(F.col("hi") == F.col("lo"), 0).when(width == float("inf"), F.when(here >= 0, fanout - 1).otherwise(0))
-        part = part.otherwise(F.least(F.floor((here - F.col("lo")) / width * fanout), F.lit(fanout - 1))).cast("int")
-        following = F.coalesce(code(F.col("lvl") + 1), F.lit(0.0))
-        counted = active.withColumn("part", part).groupBy("g", "part").agg(
-            F.count(F.lit(1)).alias("c"), F.min(here).alias("mn"), F.max(here).alias("mx"), F.min(following).alias("next_mn"), F.max(following).alias("next_mx"))
+        part = F.when(width <= 0, 0).otherwise(F.least(F.floor((F.col("here") - F.col("lo")) / width * fanout), F.lit(fanout - 1))).cast("int")
+        counted = valued.withColumn("part", part).groupBy("g", "part").agg(
+            F.count(F.lit(1)).alias("c"), F.min("here").alias("mn"), F.max("here").alias("mx"), F.min("following").alias("next_mn"), F.max("following").alias("next_mx"),
+            *[f(c).alias(f"{name}_{c}") for c in ("t", "i") for name, f in (("mn", F.min), ("mx", F.max))], F.count("t").alias("with_t"))
         down = Window.partitionBy("g").orderBy(F.desc("part"))
         above = counted.withColumn("cum", F.sum("c").over(down)).where(F.col("cum") > 0).join(state.select("g", "prefix", "lvl", "need"), "g")
         cutoff = above.where((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need"))).withColumn("need", F.col("need") - F.col("cum") + F.col("c"))
         one = F.col("mn") == F.col("mx")
-        known = one & ((F.col("lvl") > 1) | F.lit(coded) | (F.col("lvl") == 0))
+        # an interval of one value: on to the next part in which the remaining rows differ; what they share is filled in
+        in_tie, tie_from = F.col("lvl") < start_item - 1, F.greatest(F.col("lvl") + 1, F.lit(2))
+        all_t = (F.col("with_t") == F.col("c")) | (F.col("with_t") == 0)
+        to_tie = F.when(all_t, F.greatest(tie_from, 2 + F.when(F.col("with_t") == 0, code.blocks["t"]).otherwise(code.common(F.col("mn_t"), F.col("mx_t"), "t")))).otherwise(tie_from)
+        to_item = F.greatest(F.col("lvl") + 1, F.lit(start_item), start_item + code.common(F.col("mn_i"), F.col("mx_i"), "i"))
+        following = F.when(F.col("lvl") == 0, 1).when(in_tie & (to_tie < start_item), to_tie).otherwise(to_item).cast("int")
+        cutoff = cutoff.withColumn("to", F.least(following, F.lit(code.size)))
+        shared = F.when(F.col("to") > F.col("lvl") + 1, F.transform(F.sequence(F.col("lvl") + 1, F.col("to") - 1), lambda k: code.part(k, F.col("mn_t"), F.col("mn_i")))).otherwise(none)
+        # the texts themselves bound the part that follows
+        cutoff = cutoff.withColumn("o", F.lit(0).cast("bigint")).withColumn("shared", shared)
+        mixed = (F.col("to") < start_item) & ~all_t
+        least = F.when(mixed, LAST).otherwise(code.part(F.col("to"), F.col("mx_t"), F.col("mx_i")))
+        most = F.when(mixed, 0.0).otherwise(code.part(F.col("to"), F.col("mn_t"), F.col("mn_i")))
+        finished = (F.col("c") == F.col("need")) | (one & (F.col("to") >= code.size))
+        last = F.concat("prefix", F.array("mn"))
         cutoff = cut(cutoff.select(
-            "g", "need", "c", F.col("lvl").alias("at"), F.col("mn").alias("above"), F.col("mx").alias("below"),
-            F.when(known | (F.col("c") == F.col("need")), F.concat("prefix", F.array("mn"))).otherwise(F.col("prefix")).alias("prefix"),
-            F.when(known, F.col("lvl") + 1).otherwise(F.col("lvl")).alias("lvl"),
-            F.when(known, F.col("next_mn")).otherwise(F.col("mn")).alias("lo"), F.when(known, F.col("next_mx")).otherwise(F.col("mx")).alias("hi")))
-        finished = (F.col("c") == F.col("need")) | (F.col("lvl") >= len(levels))
-        done.append(cutoff.where(finished).select("g", "prefix"))
-        state = cutoff.where(~finished).drop("c")
+            "g", "need", finished.alias("finished"), F.col("lvl").alias("at"), F.col("mn").alias("above"), F.col("mx").alias("below"),
+            F.when(finished, last).when(one, F.concat(last, "shared")).otherwise(F.col("prefix")).alias("prefix"), F.when(one, F.col("to")).otherwise(F.col("lvl")).alias("lvl"),
+            F.when(one & (F.col("to") == 1), F.col("next_mn")).when(one, least).otherwise(F.col("mn")).alias("lo"), F.when(one & (F.col("to") == 1), F.col("next_mx")).when(one, most).otherwise(F.col("mx")).alias("hi")))
+        done.append(cutoff.where("finished").select("g", "prefix"))
+        state = cutoff.where(~F.col("finished")).drop("finished")
         open_groups = state.count()
 
     cutoffs = to_rows(reduce(DataFrame.unionByName, done)).hint("merge")
 
     bound = lambda k: F.get(F.col("prefix"), F.lit(k))
-    rest = F.size("prefix") - 2
-    reaches = F.when(rest == -2, True).when(levels[0] != bound(0), levels[0] > bound(0)).when(rest == -1, True)
-    reaches = reaches.when(levels[1] != bound(1), levels[1] > bound(1)).when(rest == 0, True)
-    reaches = reaches.otherwise(F.slice(F.array(*levels[2:]), F.lit(1), rest) >= F.slice("prefix", F.lit(3), rest))
+    size = F.size("prefix")
+    reaches = F.when(size == 0, True).when(top != bound(0), top > bound(0)).when(size == 1, True).when(low != bound(1), low > bound(1)).when(size == 2, True)
+    reaches = reaches.otherwise(F.transform(F.sequence(F.lit(2), size - 1), lambda k: code.part(k)) >= F.slice("prefix", F.lit(3), size - 2))
     best = base.join(cutoffs, ["g", "salt"]).where(reaches)
     return best.select(F.col("g").alias(group), F.col("i").alias(item), F.col("s").alias(score), F.col("t").alias(tie))

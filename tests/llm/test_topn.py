@@ -46,3 +46,10 @@ def test_empty_and_wrong_arguments(spark):
     assert got(spark, [], 5) == set()
     with pytest.raises(ValueError):
         top_n_per_group(spark.createDataFrame([], SCHEMA), "source_path", "score", "chunk_id", "hit_id", 0)
+
+
+def test_very_long_ids_cost_no_more(spark):
+    long = "x" * 12_000
+    rows = [("a", 1.0, long + f"{k:03d}", k) for k in range(40)] + [("a", 1.0, long, 99), ("b", 0.5, "y", 1), ("b", 0.5, None, 2), ("b", 0.5, "y\0", 3), ("b", 0.5, "", 4)]
+    for n in (3, 7):
+        assert got(spark, rows, n) == brute(rows, n)
