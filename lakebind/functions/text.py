@@ -63,11 +63,23 @@ def fold(text: Column) -> Column:
     return F.translate(F.regexp_replace(lowered(text), MARKS + "+", ""), ACCENTED, PLAIN)
 
 
-def raw_tokens(text: Column) -> Column:
-    """Tokens of the lower-cased text, then those of the folded text: a plain word comes twice."""
+def token_like(text: Column) -> Column:
+    """What looks like a token in the lower-cased text, then in the folded text: a plain word comes twice."""
     composed = F.regexp_replace(lowered(text), f"[a-z]{MARKS}+", " ")
-    both = F.concat(F.regexp_extract_all(composed, F.lit(TOKEN), F.lit(0)), F.regexp_extract_all(fold(text), F.lit(TOKEN), F.lit(0)))
-    return F.filter(both, lambda t: ((F.char_length(t) >= 2) | t.rlike("^[一-鿿]$")) & ~t.isin(*STOPWORDS))
+    return F.concat(F.regexp_extract_all(composed, F.lit(TOKEN), F.lit(0)), F.regexp_extract_all(fold(text), F.lit(TOKEN), F.lit(0)))
+
+
+def is_token(word: Column) -> Column:
+    return ((F.char_length(word) >= 2) | word.rlike("^[一-鿿]$")) & ~word.isin(*STOPWORDS)
+
+
+def raw_tokens(text: Column) -> Column:
+    """Tokens of the lower-cased text, then those of the folded text."""
+    return F.filter(token_like(text), is_token)
+
+
+#: Tokens that a rule of synonyms looks for.
+TRIGGERS = tuple(sorted({word for groups, _ in SYNONYMS for group in groups for word in group}))
 
 
 def synonyms(tokens: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakebind.functions import text as T
+from lakebind.storage import cut, shuffle_partitions
 
 
 def is_pattern(path: Column) -> Column:
@@ -88,17 +89,24 @@ def describe(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     """n, min, p10, p25, median, mean, p75, p90, max of a column in groups: a percentile is the value at the place
     (n - 1) p, rounded half to even; the median averages the two middle values; null and NaN values are left out.
 
-    Places are found by row numbers, so a group's values are sorted by the shuffle and never gathered in one row.
+    Values are sorted over all groups by range, so that a large group lies in many partitions; a value's place is its
+    place in its partition and the number of its group's values in the partitions before.
     """
-    from pyspark.sql import Window
-
     rows = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).select(*by, F.col(column).cast("double").alias("x"))
     counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("min"), F.avg("x").alias("mean"), F.max("x").alias("max"))
-    placed = rows.withColumn("at", F.row_number().over(Window.partitionBy(*by).orderBy("x")) - 1).join(counts.select(*by, "n"), by)
+    ranges = rows.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("times")).repartitionByRange(shuffle_partitions(df.sparkSession), *by, "x")
+    ranges = cut(ranges.withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranges.groupBy(*by, "part").agg(F.sum("times").alias("inside")).withColumn("skipped", F.coalesce(F.sum("inside").over(before), F.lit(0)))
+    within = Window.partitionBy(*by, "part").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("earlier", F.coalesce(F.sum("times").over(within), F.lit(0)))
+    placed = placed.join(parts.select(*by, "part", "skipped"), [*by, "part"]).join(counts.select(*by, "n"), by)
+    placed = placed.withColumn("from", F.col("skipped") + F.col("earlier")).withColumn("to", F.col("from") + F.col("times") - 1)
 
     def at(p: float) -> Column:
-        return F.max(F.when(F.col("at") == F.bround((F.col("n") - 1) * F.lit(p), 0), F.col("x")))
+        return F.max(F.when(F.bround((F.col("n") - 1) * F.lit(p), 0).between(F.col("from"), F.col("to")), F.col("x")))
 
-    middle = F.avg(F.when((F.col("at") == F.floor((F.col("n") - 1) / 2)) | (F.col("at") == F.ceil((F.col("n") - 1) / 2)), F.col("x")))
+    half = lambda f: F.max(F.when(f((F.col("n") - 1) / 2).between(F.col("from"), F.col("to")), F.col("x")))
+    middle = (half(F.floor) + half(F.ceil)) / 2
     stats = placed.groupBy(*by).agg(at(0.1).alias("p10"), at(0.25).alias("p25"), middle.alias("median"), at(0.75).alias("p75"), at(0.9).alias("p90"))
     return counts.join(stats, by).select(*by, "n", "min", "p10", "p25", "median", "mean", "p75", "p90", "max")

@@ -7,14 +7,20 @@ sources, by the rank of their best chunk.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakebind.functions import text as T
-from lakebind.storage import cut, written
+from lakebind.storage import cut
 
 K1, B, PATH_WEIGHT, CHUNK_K, TOP_K = 1.2, 0.75, 1.6, 120, 20
 PATH_OVERLAP, TEXT_OVERLAP, QUOTED_PATH, QUOTED_TEXT, MODALITY, AGGREGATE, LEAST = 3.2, 1.4, 3.0, 1.0, 0.35, 0.2, 0.02
+#: Tokens or spans of questions that are sent to all tasks, and numbers of a matrix of questions, at most.
+ASKED, MATRIX = 100_000, 1 << 23
 #: Question tokens that point to a kind of source (fixed values).
 MODALITIES = {
     "table": ("csv", "xlsx", "sql", "table", "column", "row", "average", "correlation", "cot"),
@@ -34,16 +40,30 @@ def document(corpus_row: str = "") -> Column:
 def postings(df: DataFrame, key: str, text: Column, expand: bool = True, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(term counts (key, token, tf), lengths (key, dl)) of a text; a text without tokens has length 0.
 
-    ``only`` limits the counts to the tokens of a table, before they are aggregated: a search needs no others.
-
-    The tokens are written once and read for counts, lengths and frequencies: this is the index.
+    ``only`` limits the counts to the tokens of a table: a search needs no others, so only those and the length leave the
+    task that reads a text. Words are told from other matches after they are exploded, in generated code; the rules of
+    synonyms see only the few tokens that a rule looks for.
     """
-    tokens = written(T.with_tokens(df.select(key, text.alias("t")), F.col("t"), expand=expand).select(key, "tokens"), "tokens")
-    lengths = tokens.select(key, F.size("tokens").alias("dl"))
-    terms = tokens.select(key, F.explode("tokens").alias("token"))
+    word = F.col("word")
+    rows = df.select(key, F.explode_outer(T.token_like(text)).alias("word")).select(key, F.when(T.is_token(word), word).alias("token"))
+    trigger = F.when(F.col("token").isin(*T.TRIGGERS), F.col("token"))
+    nothing = F.array().cast("array<string>")
     if only is not None:
-        terms = terms.join(only.select("token").distinct(), "token", "left_semi")
-    return terms.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")), lengths
+        asked = only.select("token").distinct().withColumn("asked", F.lit(True))
+        asked = F.broadcast(asked) if asked.count() <= ASKED else asked
+        docs = rows.join(asked, "token", "left").groupBy(key).agg(
+            F.count("token").alias("own"), F.collect_set(trigger).alias("have"), F.collect_list(F.when(F.col("asked"), F.col("token"))).alias("matched"))
+        docs = cut(docs.withColumn("added", T.synonyms(F.col("have")) if expand else nothing))
+        terms = docs.select(key, F.explode(F.concat("matched", "added")).alias("token")).join(asked.select("token"), "token", "left_semi")
+        return terms.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")), docs.select(key, (F.col("own") + F.size("added")).alias("dl"))
+    counts = cut(rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
+    terms = counts.where("token IS NOT NULL")
+    if expand:
+        have = counts.where(F.col("token").isin(*T.TRIGGERS)).groupBy(key).agg(F.collect_set("token").alias("have"))
+        added = have.select(key, F.explode(T.synonyms(F.col("have"))).alias("token"), F.lit(1).cast("bigint").alias("tf"))
+        terms = terms.unionByName(added).groupBy(key, "token").agg(F.sum("tf").alias("tf"))
+    lengths = counts.select(key, "token", "tf").where("token IS NULL").select(key, F.lit(0).cast("bigint").alias("tf")).unionByName(terms.select(key, "tf"))
+    return terms, lengths.groupBy(key).agg(F.sum("tf").alias("dl"))
 
 
 def bm25_idf(counts: DataFrame, documents: DataFrame) -> DataFrame:
@@ -134,9 +154,8 @@ def overlap(query: DataFrame, counts: DataFrame, idf: DataFrame | None, key: str
 def lexical_hits(corpus: DataFrame, questions: DataFrame) -> DataFrame:
     """Ranked chunks by weighted lexical overlap of text and path, with bonuses for quoted spans, modality and extension.
 
-    Bonuses alone can carry a chunk over the threshold, so every chunk of a kind or extension that a question names is
-    scored. That join is of a stated set of questions with all chunks: Spark broadcasts the questions if they are below
-    its threshold, and else joins block by block.
+    Bonuses alone can carry a chunk over the threshold: kinds and extensions that a question names are joined with the
+    chunks that have them. Only quoted spans are looked for in every path and text, being a stated set of few questions.
     """
     path_text = F.replace(F.coalesce("source_path", F.lit("")), F.lit("/"), F.lit(" "))
     text_counts, _ = postings(corpus, "chunk_id", F.col("text"))
@@ -147,20 +166,22 @@ def lexical_hits(corpus: DataFrame, questions: DataFrame) -> DataFrame:
     by_path = overlap(query, path_counts, idf, "chunk_id").select("question_id", "chunk_id", (PATH_OVERLAP * F.col("overlap")).alias("score"))
     by_text = overlap(query, text_counts, idf, "chunk_id").select("question_id", "chunk_id", (TEXT_OVERLAP * F.col("overlap")).alias("score"))
 
-    lower_path, lower_text = F.lower("source_path"), F.lower(F.coalesce("text", F.lit("")))
-    asked = T.with_tokens(questions, F.col("question"), "qt").select(
-        "question_id", F.lower("question").alias("q"), "qt", F.transform(T.quoted_spans(F.col("question")), F.lower).alias("spans"))
-    pairs = corpus.select("chunk_id", "source_kind", lower_path.alias("p"), lower_text.alias("t")).crossJoin(asked)
-    quoted = F.aggregate("spans", F.lit(0.0), lambda acc, s: acc + F.when(F.contains(F.col("p"), s), QUOTED_PATH).when(F.contains(F.col("t"), s), QUOTED_TEXT).otherwise(0.0))
-    kind = F.lit(False)
-    for name, words in MODALITIES.items():
-        kind = kind | ((F.col("source_kind") == name) & F.arrays_overlap("qt", F.array(*map(F.lit, words))))
-    bonus = quoted + F.when(kind, MODALITY).otherwise(0.0)
-    for extension in EXTENSIONS:
-        bonus = bonus + F.when(F.contains(F.col("q"), F.lit(extension[1:])) & F.endswith(F.col("p"), F.lit(extension)), 0.8).otherwise(0.0)
-    bonus = bonus + F.when((F.col("source_kind") == "image") & F.col("q").rlike(r"(?U)\b(image|ảnh|hình|photo|picture)\b"), 0.3).otherwise(0.0)
-    bonus = bonus + F.when((F.col("source_kind") == "audio") & F.col("q").rlike(r"(?U)\b(audio|meeting|workshop|m4a)\b"), 0.5).otherwise(0.0)
-    bonuses = pairs.select("question_id", "chunk_id", bonus.alias("score")).where("score > 0")
+    asked = cut(T.with_tokens(questions, F.col("question"), "qt").select(
+        "question_id", F.lower("question").alias("q"), "qt", F.transform(T.quoted_spans(F.col("question")), F.lower).alias("spans")))
+    q = F.col("q")
+    named = {kind: F.when(F.arrays_overlap("qt", F.array(*map(F.lit, words))), MODALITY).otherwise(0.0) for kind, words in MODALITIES.items()}
+    named["image"] = named["image"] + F.when(q.rlike(r"(?U)\b(image|ảnh|hình|photo|picture)\b"), 0.3).otherwise(0.0)
+    named["audio"] = named["audio"] + F.when(q.rlike(r"(?U)\b(audio|meeting|workshop|m4a)\b"), 0.5).otherwise(0.0)
+    kinds = asked.select("question_id", F.explode(F.array(*[F.struct(F.lit(k).alias("source_kind"), v.alias("score")) for k, v in named.items()])).alias("k")).select("question_id", "k.*").where("score > 0")
+    of_kind = corpus.select("chunk_id", "source_kind").join(kinds, "source_kind").select("question_id", "chunk_id", "score")
+    endings = asked.select("question_id", F.explode(F.filter(F.array(*map(F.lit, EXTENSIONS)), lambda e: F.contains(q, F.substring(e, F.lit(2), F.char_length(e))))).alias("extension"))
+    suffix = F.regexp_extract(F.lower("source_path"), r"(\.[^.]*)$", 1)
+    of_extension = corpus.select("chunk_id", suffix.alias("extension")).join(endings, "extension").select("question_id", "chunk_id", F.lit(0.8).alias("score"))
+    spans = cut(asked.select("question_id", F.explode("spans").alias("span")))
+    where, what = F.contains(F.lower("source_path"), F.col("span")), F.contains(F.lower(F.coalesce("text", F.lit(""))), F.col("span"))
+    quoted = corpus.select("chunk_id", "source_path", "text").join(F.broadcast(spans) if spans.count() <= ASKED else spans, F.coalesce(where, F.lit(False)) | what)
+    quoted = quoted.select("question_id", "chunk_id", F.when(where, QUOTED_PATH).otherwise(QUOTED_TEXT).alias("score"))
+    bonuses = of_kind.union(of_extension).union(quoted)
 
     scores = by_path.union(by_text).union(bonuses).groupBy("question_id", "chunk_id").agg(F.sum("score").alias("score"))
     scores = scores.where(F.round("score", 9) >= LEAST)
@@ -172,25 +193,60 @@ def lexical(corpus: DataFrame, questions: DataFrame, top_k: int = TOP_K) -> Data
     return by_source(lexical_hits(corpus, questions), AGGREGATE, 3, top_k)
 
 
-def vector_scores(vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """(question_id, chunk_id, score): cosine of every query with every vector, exact.
+def vector_scores(vectors: DataFrame, queries: DataFrame, best: int | None = None) -> DataFrame:
+    """(question_id, chunk_id, score): cosine of every query with every vector, exact; a zero norm gives 0.
 
-    The dot product runs over the shorter length, the norms over the full ones; a zero norm gives 0. A stated set of
-    queries meets all vectors: broadcast if it is below Spark's threshold, else block by block. The product of a pair is
-    one native expression, and norms are taken once a vector.
+    The dot product runs over the shorter length, the norms over the full ones. The stated set of queries goes to all
+    tasks as one matrix, and a batch of vectors is multiplied with it at once; a set above ``MATRIX`` numbers meets the
+    vectors in a join. With ``best``, only what can be among so many of a query leaves a task.
     """
+    wide = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
+    if wide["n"] * wide["d"] > MATRIX:
+        return _vector_join(vectors, queries)
+    asked = queries.select("question_id", F.col("embedding").cast("array<double>").alias("e")).where("e IS NOT NULL").collect()
+    matrix = np.zeros((len(asked), max(1, wide["d"])))
+    for k, row in enumerate(asked):
+        matrix[k, : len(row["e"])] = row["e"]
+    shared = vectors.sparkSession.sparkContext.broadcast(([r["question_id"] for r in asked], matrix, np.linalg.norm(matrix, axis=1)))
+    kinds = {**dict(vectors.select("chunk_id").dtypes), **dict(queries.select("question_id").dtypes)}
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, against, norms = shared.value
+        names = pa.array(names)
+        for batch in batches:
+            lists = batch.column(1)
+            sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False)
+            width = max(against.shape[1], sizes.max(initial=0))
+            rows = np.zeros((len(sizes), width))
+            rows[np.arange(width) < sizes[:, None]] = flat
+            own = np.linalg.norm(rows, axis=1)
+            scale = own[:, None] * norms
+            scores = np.divide(rows[:, : against.shape[1]] @ against.T, scale, out=np.zeros_like(scale), where=scale > 0)
+            kept = np.ones_like(scores, dtype=bool)
+            if best is not None and len(scores) > best:
+                kept = scores >= np.partition(scores, -best, axis=0)[-best] - 1e-9
+            chunk, query = np.nonzero(kept)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(query)), batch.column(0).take(pa.array(chunk)), pa.array(scores[kept])], names=["question_id", "chunk_id", "score"])
+
+    shape = f"question_id {kinds['question_id']}, chunk_id {kinds['chunk_id']}, score double"
+    if not asked:
+        return vectors.sparkSession.createDataFrame([], shape)
+    return vectors.select("chunk_id", F.coalesce(F.col("embedding").cast("array<double>"), F.array().cast("array<double>")).alias("v")).mapInArrow(multiply, shape)
+
+
+def _vector_join(vectors: DataFrame, queries: DataFrame) -> DataFrame:
+    """The same for a set of queries too large for one matrix."""
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
     left = queries.select("question_id", F.col("embedding").cast("array<double>").alias("q")).withColumn("qn", norm(F.col("q")))
     right = vectors.select("chunk_id", F.col("embedding").cast("array<double>").alias("v")).withColumn("vn", norm(F.col("v")))
-    pairs = right.crossJoin(left)
     n = F.least(F.size("q"), F.size("v"))
     dot = F.aggregate(F.zip_with(F.slice("q", F.lit(1), n), F.slice("v", F.lit(1), n), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    return pairs.select("question_id", "chunk_id", F.when((F.col("qn") == 0) | (F.col("vn") == 0), 0.0).otherwise(dot / (F.col("qn") * F.col("vn"))).alias("score"))
+    return right.crossJoin(left).select("question_id", "chunk_id", F.when((F.col("qn") == 0) | (F.col("vn") == 0), 0.0).otherwise(dot / (F.col("qn") * F.col("vn"))).alias("score"))
 
 
 def vector(vectors: DataFrame, queries: DataFrame, aggregation: str = "max_mean_top3", chunk_k: int = 200, top_k: int = TOP_K) -> DataFrame:
     """Sources by cosine of their chunks; ``vectors`` have chunk_id, source_path, source_kind, embedding."""
-    return vector_sources(top_chunks(vector_scores(vectors, queries), vectors, chunk_k), aggregation, top_k)
+    return vector_sources(top_chunks(vector_scores(vectors, queries, chunk_k), vectors, chunk_k), aggregation, top_k)
 
 
 def vector_sources(hits: DataFrame, aggregation: str = "max_mean_top3", top_k: int = TOP_K) -> DataFrame:
