@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebind.functions import text as T
+from lakebind.operators import chunking as C
 from lakebind.operators import evaluation as E
+from lakebind.operators import payload as P
 from lakebind.operators import retrieval as R
 from lakebind.storage import cut, table
 
@@ -191,7 +193,49 @@ def solution_export(spark, folder):
         F.col("question_id").alias("id"), "question", F.to_json(F.transform(F.coalesce("l", F.array().cast("array<struct<source_rank:bigint,path:string>>")), lambda x: x["path"])).alias("source_files"))
 
 
+def bm25_payload(spark, folder):
+    """BM25 sources with their kind, reasons, best five chunks and number of chunks."""
+    c, q = corpus(spark, folder), questions(spark, folder)
+    hits = cut(R.bm25_hits(c, q))
+    out = P.with_payload(R.by_source(hits, 0.05, 4, 20).drop("n_chunks"), hits, c, "bm25")
+    return rounded(out).select("question_id", "source_path", "score", "source_rank", "source_kind", F.array_join("reasons", ",").alias("reasons"), F.array_join(F.transform("chunks", lambda x: x["chunk_id"]), ",").alias("chunks"), "source_chunks")
+
+
+def vector_components(spark, folder):
+    hits = R.top_chunks(R.vector_scores(vectors(spark, folder), vector_queries(spark, folder), 200), vectors(spark, folder), 200)
+    return rounded(P.vector_components(hits, vectors(spark, folder)), "max_chunk_score", "mean_top3_chunk_score")
+
+
+def result_summaries(spark, folder):
+    """BM25 sources with the number of records and the kinds that the lake holds of them, as JSON."""
+    ranking = R.bm25(corpus(spark, folder), questions(spark, folder)).select("question_id", "source_path", "source_rank")
+    parts = [table(spark, folder, f"canonical_{name}").select("source_path", F.lit(name).alias("kind"), F.col(key).alias("id")).distinct() for name, key in (("texts", "text_id"), ("images", "image_id"))]
+    summaries = parts[0].unionByName(parts[1]).groupBy("source_path").agg(F.count(F.lit(1)).alias("records"), F.array_join(F.array_sort(F.collect_set("kind")), "+").alias("kinds"))
+    return P.with_summaries(ranking, summaries)
+
+
+def evidence_fallback(spark, folder):
+    """The sources that questions state or, where they state none, those of their logged hits, in order."""
+    asked = table(spark, folder, "retrieval_questions").select("question_id", "data_sources").distinct()
+    stated = asked.select("question_id", F.filter(F.split(F.regexp_replace(F.coalesce("data_sources", F.lit("")), r"[\[\]\"' ]", ""), "[,;|\t\n]+"), lambda x: x != "").alias("evidences")).groupBy("question_id").agg(F.max("evidences").alias("evidences"))
+    hits = table(spark, folder, "retrieval_hits").where(F.coalesce("source_path", F.lit("")) != "")
+    logged = hits.groupBy("question_id").agg(F.array_sort(F.collect_set("source_path")).alias("evidences"))
+    return P.evidence_or_fallback(stated, logged).select("question_id", F.array_join("evidences", ",").alias("evidences"))
+
+
+def hybrid_lexical_vector(spark, folder):
+    """BM25 fused with a vector ranking of the same sources; chunks and questions are embedded by the offline provider."""
+    c, q = corpus(spark, folder), questions(spark, folder)
+    provider = C.HashingProvider()
+    embedded = lambda df, key, text: C.embed(df.select(F.col(key).alias("chunk_id"), F.coalesce(text, F.lit("")).alias("embedding_text")), None, provider)[0].select(F.col("chunk_id").alias(key), "embedding")
+    chunk_vectors = cut(embedded(c, "chunk_id", F.col("text"))).join(c.select("chunk_id", "source_path", "source_kind"), "chunk_id")
+    lexical = R.bm25(c, q, with_path=True, top_k=50)
+    vector = R.vector(chunk_vectors, embedded(q, "question_id", F.col("question")), chunk_k=200, top_k=50)
+    return rounded(R.fuse(lexical, vector), "score")
+
+
 QUERIES = {
+    "bm25_payload": bm25_payload, "vector_components": vector_components, "result_summaries": result_summaries, "evidence_fallback": evidence_fallback, "hybrid_lexical_vector": hybrid_lexical_vector,
     "bm25_topk": bm25_topk, "bm25_with_path": bm25_with_path, "lexical_retrieve": lexical_retrieve,
     "vector_topk_max_mean_top3": vector_topk("max_mean_top3"), "vector_topk_legacy": vector_topk("legacy"),
     "hybrid_rrf": hybrid_rrf, "heuristic_rerank": heuristic_rerank,
@@ -370,7 +414,22 @@ _FOLDERS = f"""universe AS (SELECT DISTINCT source_path FROM canonical_chunks WH
     files AS (SELECT DISTINCT question_id, source_path FROM named JOIN below USING (f) WHERE f IN (SELECT f FROM below GROUP BY f HAVING count(*) <= 80)),
     ranking AS (SELECT question_id, min(source_path) AS source_path, 0.5e0 AS score FROM fq JOIN universe ON regexp_replace(source_path, '/[^/]*$', '') = question_id GROUP BY question_id)"""
 
+_PLAIN = """list_filter(string_split_regex(regexp_replace(coalesce(data_sources, ''), '[\\[\\]"'' ]', '', 'g'), '[,;|\\t\\n]+'), lambda x: x <> '')"""
 SQL = {
+    "bm25_payload": f"""WITH {_BM25}, {_sources('ranking', 'hits', '0.05e0', 5, 20)},
+        shown AS (SELECT question_id, source_path, string_agg(chunk_id, ',' ORDER BY rank) AS chunks, arg_min(source_kind, rank) AS source_kind FROM (SELECT *, row_number() OVER (PARTITION BY question_id, source_path ORDER BY rank) AS rn FROM hits) WHERE rn <= 5 GROUP BY ALL)
+        SELECT question_id, source_path, round(score, 6) AS score, source_rank, coalesce(source_kind, 'file') AS source_kind, 'bm25' AS reasons, chunks, source_chunks
+        FROM ranking JOIN shown USING (question_id, source_path) JOIN (SELECT source_path, count(DISTINCT chunk_id) AS source_chunks FROM corpus GROUP BY source_path) USING (source_path)""",
+    "vector_components": f"""WITH {_VECTORS}, {_hits('hits', 'vscores', 200, 'vectors')}, ranked AS (SELECT *, row_number() OVER (PARTITION BY question_id, source_path ORDER BY rank) AS rn FROM hits)
+        SELECT question_id, source_path, round(max(score), 6) AS max_chunk_score, round(avg(score) FILTER (WHERE rn <= 3), 6) AS mean_top3_chunk_score, count(*) AS matched_chunk_count, least(count(*), 3) AS matched_chunk_bonus_count,
+        any_value(n) AS source_chunk_count FROM ranked JOIN (SELECT source_path, count(*) AS n FROM vectors GROUP BY source_path) USING (source_path) GROUP BY ALL""",
+    "result_summaries": f"""WITH {_BM25}, {_sources('ranking', 'hits', '0.05e0', 5, 20)},
+        records AS (SELECT DISTINCT source_path, 'texts' AS kind, text_id AS id FROM canonical_texts UNION SELECT DISTINCT source_path, 'images', image_id FROM canonical_images),
+        summed AS (SELECT source_path, '{{"records":' || count(*) || ',"kinds":"' || string_agg(DISTINCT kind, '+' ORDER BY kind) || '"}}' AS source_summary FROM records GROUP BY source_path)
+        SELECT question_id, source_path, source_rank, coalesce(source_summary, '{{}}') AS source_summary FROM ranking LEFT JOIN summed USING (source_path)""",
+    "evidence_fallback": f"""WITH stated AS (SELECT question_id, max(l) AS l FROM (SELECT DISTINCT question_id, {_PLAIN} AS l FROM retrieval_questions) GROUP BY question_id),
+        logged AS (SELECT question_id, list_sort(list(DISTINCT source_path)) AS o FROM retrieval_hits WHERE coalesce(source_path, '') <> '' GROUP BY question_id)
+        SELECT question_id, coalesce(array_to_string(CASE WHEN len(l) > 0 THEN l ELSE o END, ','), '') AS evidences FROM stated LEFT JOIN logged USING (question_id)""",
     "bm25_topk": f"WITH {_BM25}, {_sources('ranking', 'hits', '0.05e0', 5, 20)} {_ROUND} ranking",
     "bm25_with_path": f"WITH {_BASE}, {_BOTH}, {_hits('hits', '(SELECT * FROM both_scores WHERE score > 0)', 120)}, {_sources('ranking', 'hits', '0.05e0', 5, 20)} {_ROUND} ranking",
     "lexical_retrieve": _lexical(),
