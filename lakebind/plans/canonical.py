@@ -192,22 +192,18 @@ def table_profile(spark, folder):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-SCRIPTS = [("a", "CREATE TABLE class_scores(student_id INTEGER, class_name TEXT, math_score REAL); INSERT INTO class_scores VALUES (1)"), ("b", "select x from t1 join `s.t2` on a update [q set z = 1"), ("c", "nothing here"), ("d", "Create  table \"Quoted\" (id INT, d DATE)")]
-
-
 def sql_sniff(spark, folder):
-    rows = spark.createDataFrame(SCRIPTS, "script_id string, body string")
-    names, columns = B.sql_names(F.col("body"))
-    return rows.select("script_id", F.array_join(names, ",").alias("tables"), F.array_join(columns, ",").alias("columns"))
-
-
-CAPTIONS = [("a", "see ![simple chart](figure.jpg) and ![](empty.png) then ![two words](x y)"), ("b", "no image [link](a.b)"), ("c", "![ first ](u)![second](v)")]
+    """The names of tables and typed columns in texts that speak of tables as scripts do."""
+    rows = texts(spark, folder).where(F.col("text").rlike(r"(?i)\b(CREATE\s+TABLE|FROM|JOIN|INTO|UPDATE)\s"))
+    names, columns = B.sql_names(F.col("text"))
+    return rows.select("text_id", F.array_join(names, ",").alias("tables"), F.array_join(columns, ",").alias("columns"))
 
 
 def markdown_captions(spark, folder):
-    rows = spark.createDataFrame(CAPTIONS, "doc string, body string")
-    alts = F.filter(F.transform(F.regexp_extract_all("body", F.lit(r"!\[([^\]]*)\]\(([^)]+)\)"), F.lit(1)), lambda a: F.trim(a)), lambda a: a != "")
-    return rows.select("doc", F.array_join(alts, "|").alias("captions"))
+    """The alternative texts of Markdown images in all documents that have one."""
+    rows = table(spark, folder, "documents").where(F.contains(F.col("text"), F.lit("![")))
+    alts = F.filter(F.transform(F.regexp_extract_all("text", F.lit(r"!\[([^\]]*)\]\(([^)]+)\)"), F.lit(1)), lambda a: F.trim(a)), lambda a: a != "")
+    return rows.select("doc_id", F.array_join(alts, "|").alias("captions"))
 
 
 def source_summary(spark, folder):
@@ -486,8 +482,9 @@ SQL = {
     "table_profile": " UNION ALL ".join(_profile_sql(*parts) for parts in (
         ("customer", "c_custkey", "c_custkey c_name c_nationkey c_acctbal c_mktsegment"), ("part", "p_partkey", "p_partkey p_name p_brand p_type p_size p_retailprice"),
         ("supplier", "s_suppkey", "s_suppkey s_name s_nationkey s_acctbal"), ("nation", "n_nationkey", "n_nationkey n_name n_regionkey"), ("region", "r_regionkey", "r_regionkey r_name"))),
-    "sql_sniff": rf"""SELECT script_id, array_to_string(list_sort(list_distinct(regexp_extract_all(body, '(?i)\b(?:CREATE\s+TABLE|FROM|JOIN|INTO|UPDATE)\s+[`"\[]?([A-Za-z_][\w.]*)', 1))), ',') AS tables, array_to_string(list_sort(list_distinct(regexp_extract_all(body, '(?i)\b([A-Za-z_]\w*)\s+(?:INTEGER|INT|REAL|TEXT|VARCHAR|DATE|FLOAT|DOUBLE|BOOLEAN|NUMERIC)\b', 1))), ',') AS columns FROM {_values(SCRIPTS, 'script_id, body')}""",
-    "markdown_captions": rf"SELECT doc, array_to_string(list_filter(list_transform(regexp_extract_all(body, '!\[([^\]]*)\]\(([^)]+)\)', 1), lambda a: trim(a)), lambda a: a <> ''), '|') AS captions FROM {_values(CAPTIONS, 'doc, body')}",
+    "sql_sniff": rf"""WITH {_TEXTS} SELECT text_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '(?i)\b(?:CREATE\s+TABLE|FROM|JOIN|INTO|UPDATE)\s+[`"\[]?([A-Za-z_][\w.]*)', 1))), ',') AS tables,
+        array_to_string(list_sort(list_distinct(regexp_extract_all(text, '(?i)\b([A-Za-z_]\w*)\s+(?:INTEGER|INT|REAL|TEXT|VARCHAR|DATE|FLOAT|DOUBLE|BOOLEAN|NUMERIC)\b', 1))), ',') AS columns FROM texts WHERE regexp_matches(text, '(?i)\b(CREATE\s+TABLE|FROM|JOIN|INTO|UPDATE)\s')""",
+    "markdown_captions": rf"SELECT doc_id, array_to_string(list_filter(list_transform(regexp_extract_all(text, '!\[([^\]]*)\]\(([^)]+)\)', 1), lambda a: trim(a)), lambda a: a <> ''), '|') AS captions FROM documents WHERE contains(text, '![')",
     "source_summary": f"""WITH {_TEXTS}, {_IMAGES}, {_TABLES}, rows AS (SELECT source_path, 'text' AS kind, text_id AS id, 3 AS cap FROM texts UNION ALL SELECT source_path, 'image', image_id, 4 FROM images UNION ALL SELECT source_path, 'table', table_id, 6 FROM tabs),
         ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_path, kind ORDER BY id) AS rn FROM rows) WHERE rn <= cap)
         SELECT source_path, string_agg(DISTINCT kind, ',' ORDER BY kind) AS modalities, coalesce(string_agg(id, ',' ORDER BY id) FILTER (WHERE kind = 'image'), '') AS images, coalesce(string_agg(id, ',' ORDER BY id) FILTER (WHERE kind = 'table'), '') AS tables, coalesce(string_agg(id, ',' ORDER BY id) FILTER (WHERE kind = 'text'), '') AS texts FROM ranked GROUP BY source_path""",

@@ -128,30 +128,29 @@ def catalog(spark, folder):
     return table(spark, folder, "source_catalog").select("source_path")
 
 
-#: A stated table of patterns and truths for the checks in SQL.
-TRUTH = [("q1", 1, "reports/*"), ("q1", 2, "Reports\\Absent.pdf"), ("q2", 1, "*.csv"), ("q3", 1, "scans/harbour_trust/collected_minutes.pdf"), ("q3", 2, "SCANS/Harbour-Trust/collected minutes PDF"), ("q4", 1, "[a-c]*/*.md"), ("q5", 1, "no/such/*"), ("q6", 1, "maps/R?sum? *")]
-
-
-def _truth(spark):
-    return spark.createDataFrame(TRUTH, "question_id string, ord bigint, source string")
-
-
-def _guesses(spark, folder):
-    """Predictions for the stated truths: for each, the catalogue's files of one folder and some others."""
-    names = spark.createDataFrame([("q1", "reports/"), ("q2", "maps/"), ("q3", "scans/"), ("q4", "audio"), ("q6", "maps/")], "question_id string, prefix string")
-    return catalog(spark, folder).crossJoin(F.broadcast(names)).where(F.startswith(F.col("source_path"), F.col("prefix"))).select("question_id", F.col("source_path").alias("path")).distinct()
+def stated(spark, folder):
+    """(question_id, evidences): the sources that questions state, split at any delimiter, quotes and brackets left out."""
+    asked = table(spark, folder, "retrieval_questions").select("question_id", "data_sources").distinct()
+    plain = F.regexp_replace(F.coalesce("data_sources", F.lit("")), r"[\[\]\"' ]", "")
+    return asked.select("question_id", F.filter(F.split(plain, "[,;|\t\n]+"), lambda x: x != "").alias("evidences")).groupBy("question_id").agg(F.max("evidences").alias("evidences"))
 
 
-def _asked(spark):
-    return spark.createDataFrame([(f"q{k}",) for k in range(1, 8)], "question_id string")
+def _truth(spark, folder):
+    """What the searched questions state, by position; every other one states the folders of its sources as patterns."""
+    rows = stated(spark, folder).join(questions(spark, folder).select("question_id").distinct(), "question_id")
+    rows = rows.select("question_id", F.posexplode("evidences").alias("k", "source"))
+    pattern = F.concat(F.regexp_replace("source", "/[^/]*$", ""), F.lit("/*"))
+    return rows.select("question_id", (F.col("k") + 1).cast("bigint").alias("ord"), F.when(F.expr("try_cast(question_id AS bigint)") % (2 * EVERY) == 0, pattern).otherwise(F.col("source")).alias("source"))
 
 
 def evaluate_glob(spark, folder):
-    return rounded(E.expanded_metrics(_asked(spark), _truth(spark), _guesses(spark, folder), catalog(spark, folder)), "recall", "precision", "pattern_recall")
+    asked = questions(spark, folder).select("question_id").distinct()
+    return rounded(E.expanded_metrics(asked, _truth(spark, folder), predicted(spark, folder), catalog(spark, folder)), "recall", "precision", "pattern_recall")
 
 
 def evaluate_exact(spark, folder):
-    return rounded(E.metrics(_asked(spark), _truth(spark).select("question_id", "source"), _guesses(spark, folder)), "recall", "precision")
+    asked = questions(spark, folder).select("question_id").distinct()
+    return rounded(E.metrics(asked, _truth(spark, folder).select("question_id", "source").distinct(), predicted(spark, folder)), "recall", "precision")
 
 
 def eval_summary(spark, folder):
@@ -160,7 +159,8 @@ def eval_summary(spark, folder):
 
 
 def eval_diagnostics(spark, folder):
-    return E.diagnostics(_truth(spark).select("question_id", "source"), _guesses(spark, folder))
+    """Sources that the searched questions state and no logged hit has, and logged sources that none states."""
+    return E.diagnostics(_truth(spark, folder).select("question_id", "source").distinct(), predicted(spark, folder))
 
 
 def scored_vectors(spark, folder):
@@ -216,11 +216,9 @@ def result_summaries(spark, folder):
 
 def evidence_fallback(spark, folder):
     """The sources that questions state or, where they state none, those of their logged hits, in order."""
-    asked = table(spark, folder, "retrieval_questions").select("question_id", "data_sources").distinct()
-    stated = asked.select("question_id", F.filter(F.split(F.regexp_replace(F.coalesce("data_sources", F.lit("")), r"[\[\]\"' ]", ""), "[,;|\t\n]+"), lambda x: x != "").alias("evidences")).groupBy("question_id").agg(F.max("evidences").alias("evidences"))
     hits = table(spark, folder, "retrieval_hits").where(F.coalesce("source_path", F.lit("")) != "")
     logged = hits.groupBy("question_id").agg(F.array_sort(F.collect_set("source_path")).alias("evidences"))
-    return P.evidence_or_fallback(stated, logged).select("question_id", F.array_join("evidences", ",").alias("evidences"))
+    return P.evidence_or_fallback(stated(spark, folder), logged).select("question_id", F.array_join("evidences", ",").alias("evidences"))
 
 
 def hybrid_lexical_vector(spark, folder):
@@ -352,10 +350,12 @@ def _heuristic() -> str:
     SELECT question_id, source_path, round(score, 6) AS score, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, first) AS source_rank FROM scored QUALIFY source_rank <= 20"""
 
 
-_TRUTH = "truth(question_id, ord, source) AS (VALUES " + ", ".join(f"('{q}', {o}, '{s}')" for q, o, s in TRUTH) + ")"
-_NAMES = "names(question_id, prefix) AS (VALUES ('q1', 'reports/'), ('q2', 'maps/'), ('q3', 'scans/'), ('q4', 'audio'), ('q6', 'maps/'))"
-_GUESS = f"{_NAMES}, guesses AS (SELECT DISTINCT question_id, source_path AS path FROM source_catalog, names WHERE starts_with(source_path, prefix))"
-_ASKED = "asked(question_id) AS (VALUES ('q1'), ('q2'), ('q3'), ('q4'), ('q5'), ('q6'), ('q7'))"
+_PLAIN = """list_filter(string_split_regex(regexp_replace(coalesce(data_sources, ''), '[\\[\\]"'' ]', '', 'g'), '[,;|\\t\\n]+'), lambda x: x <> '')"""
+_TRUTH = f"""{_QUESTIONS}, asked AS (SELECT DISTINCT question_id FROM questions), stated AS (SELECT question_id, max(l) AS l FROM (SELECT DISTINCT question_id, {_PLAIN} AS l FROM retrieval_questions) GROUP BY question_id),
+    truth_all AS (SELECT question_id, unnest(l) AS source, generate_subscripts(l, 1) AS ord FROM stated JOIN asked USING (question_id)),
+    truth AS (SELECT question_id, ord, CASE WHEN question_id::BIGINT % {2 * EVERY} = 0 THEN regexp_replace(source, '/[^/]*$', '') || '/*' ELSE source END AS source FROM truth_all),
+    truth_set AS (SELECT DISTINCT question_id, source FROM truth)"""
+_GUESS = "guesses AS (SELECT DISTINCT question_id, source_path AS path FROM retrieval_hits JOIN asked USING (question_id) WHERE coalesce(source_path, '') <> '')"
 
 
 def _np(x: str) -> str:
@@ -414,7 +414,6 @@ _FOLDERS = f"""universe AS (SELECT DISTINCT source_path FROM canonical_chunks WH
     files AS (SELECT DISTINCT question_id, source_path FROM named JOIN below USING (f) WHERE f IN (SELECT f FROM below GROUP BY f HAVING count(*) <= 80)),
     ranking AS (SELECT question_id, min(source_path) AS source_path, 0.5e0 AS score FROM fq JOIN universe ON regexp_replace(source_path, '/[^/]*$', '') = question_id GROUP BY question_id)"""
 
-_PLAIN = """list_filter(string_split_regex(regexp_replace(coalesce(data_sources, ''), '[\\[\\]"'' ]', '', 'g'), '[,;|\\t\\n]+'), lambda x: x <> '')"""
 SQL = {
     "bm25_payload": f"""WITH {_BM25}, {_sources('ranking', 'hits', '0.05e0', 5, 20)},
         shown AS (SELECT question_id, source_path, string_agg(chunk_id, ',' ORDER BY rank) AS chunks, arg_min(source_kind, rank) AS source_kind FROM (SELECT *, row_number() OVER (PARTITION BY question_id, source_path ORDER BY rank) AS rn FROM hits) WHERE rn <= 5 GROUP BY ALL)
@@ -445,10 +444,10 @@ SQL = {
     "folder_expand": f"""WITH {_FOLDERS} SELECT question_id, source_path, round(coalesce(r.score, coalesce(least_score, 0) - 1e-6), 6) AS score,
         CASE WHEN r.score IS NULL THEN 'folder_expand' WHEN f.source_path IS NOT NULL THEN 'folder_expand_match' ELSE '' END AS reason
         FROM ranking r FULL JOIN files f USING (question_id, source_path) LEFT JOIN (SELECT question_id, min(score) AS least_score FROM ranking GROUP BY question_id) USING (question_id)""",
-    "evaluate_exact": f"WITH {_TRUTH}, {_GUESS}, {_ASKED}, {_matches('found', 'truth')}, {_metrics('rows', 'truth', 'found')} SELECT * REPLACE (round(recall, 6) AS recall, round(precision, 6) AS precision) FROM rows",
-    "evaluate_glob": f"""WITH {_TRUTH}, {_GUESS}, {_ASKED}, {_FULL}, {_matches('found', 'used')}, {_metrics('rows', 'used', 'found')}, {_matches('pfound', 'plain')}, {_metrics('prows', 'plain', 'pfound')}
+    "evaluate_exact": f"WITH {_TRUTH}, {_GUESS}, {_matches('found', 'truth_set')}, {_metrics('rows', 'truth_set', 'found')} SELECT * REPLACE (round(recall, 6) AS recall, round(precision, 6) AS precision) FROM rows",
+    "evaluate_glob": f"""WITH {_TRUTH}, {_GUESS}, {_FULL}, {_matches('found', 'used')}, {_metrics('rows', 'used', 'found')}, {_matches('pfound', 'plain')}, {_metrics('prows', 'plain', 'pfound')}
         SELECT r.* REPLACE (round(r.recall, 6) AS recall, round(r.precision, 6) AS precision), CASE WHEN question_id IN (SELECT question_id FROM full_e) THEN round(p.recall, 6) END AS pattern_recall FROM rows r JOIN prows p USING (question_id)""",
-    "eval_diagnostics": f"""WITH {_TRUTH}, {_GUESS}, {_matches('found', 'truth')} SELECT DISTINCT question_id, 'missed' AS kind, source AS path FROM truth WHERE (question_id, source) NOT IN (SELECT question_id, source FROM found)
+    "eval_diagnostics": f"""WITH {_TRUTH}, {_GUESS}, {_matches('found', 'truth_set')} SELECT DISTINCT question_id, 'missed' AS kind, source AS path FROM truth_set WHERE (question_id, source) NOT IN (SELECT question_id, source FROM found)
         UNION ALL SELECT question_id, 'false_positive', path FROM guesses WHERE (question_id, path) NOT IN (SELECT question_id, path FROM found)""",
     "score_separation": f"""WITH {_VECTORS}, {_SCORED}, s AS (SELECT question_id, max(score) FILTER (WHERE correct) AS c, max(score) FILTER (WHERE NOT correct) AS w FROM scored GROUP BY ALL)
         SELECT question_id, round(c, 6) AS max_correct, round(w, 6) AS max_wrong, round(c - w, 6) AS gap FROM s""",
