@@ -5,12 +5,15 @@
 2. Two texts of likeness t or more share one of the first n - ceil(t n) + 1 of their n runs in any common order. The
    order is rare runs first; only repeated runs are sent, packed by bucket of their hash, with the text's parity bitmap.
 3. Within a bucket, texts that share a run are compared if their sizes and the run's places allow the likeness. Their
-   bitmaps are compared bit-sliced: the XOR of 64 pairs per word stands in vertical bit planes, carry-save adders count
-   all distances at once, and blocks of 64 pairs are abandoned when all exceed the radius. As the distance of parity
-   bitmaps never exceeds the number of runs in which two texts differ, no pair is lost.
+   bitmaps, wider for longer texts, are compared bit-sliced: the XOR of 64 pairs per word stands in vertical bit planes,
+   carry-save adders count all distances at once, and blocks of 64 pairs are abandoned when all exceed the radius. As the
+   distance of parity bitmaps never exceeds the number of runs in which two texts differ, no pair is lost; a wider bitmap
+   folds onto a narrower one by XOR of its parts.
 4. The pairs that are left are compared by their full sets of runs.
 
-Equal texts form one class, compared once. Nothing is sampled, capped or left to chance.
+Equal texts form one class, compared once. Nothing is sampled or capped. Runs are told apart by hashes: of 64 bits in the
+search, where two equal ones only add a candidate, and of 48 bits when sets are compared, where two different runs of a
+pair of texts of 1,000 runs each are taken for one once in some 10^8 pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +31,11 @@ from pyspark.sql import functions as F
 
 from lakebind.storage import cut, shuffle_partitions, written
 
-BITS = 256
+#: Bits of the bitmap of a text of up to so many runs: about 1.6 for each, so that the distances of unlike texts show.
+WIDTHS = ((160, 256), (640, 1024), (2560, 4096))
+WIDEST = 16384
+#: Postings that one bucket should hold on average.
+IN_BUCKET = 2_000_000
 #: Slots of the sketches, as powers of two: runs seen once and twice, and counts. Their size never grows.
 SEEN, COUNTS = 24, 18
 #: Texts with one run from which its block is spread over a grid of buckets.
@@ -99,23 +106,57 @@ def _exceeds(counters: list[np.ndarray], limits: np.ndarray) -> np.ndarray:
     return more
 
 
+def widths_of(sizes: np.ndarray) -> np.ndarray:
+    """Bits of the bitmaps of texts with so many runs."""
+    out = np.full(len(sizes), WIDEST, dtype=np.int64)
+    for most, bits in reversed(WIDTHS):
+        out[sizes <= most] = bits
+    return out
+
+
+def bitmaps_of(owner: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The parity bitmap of each text: bit k tells whether an odd number of its hashes end in k."""
+    widths = widths_of(sizes)
+    starts = np.concatenate(([0], np.cumsum(widths)))
+    at = starts[owner] + ((hashes >> np.uint64(17)) & (widths[owner] - 1).astype(np.uint64)).astype(np.int64)
+    parity = np.bincount(at, minlength=starts[-1]).astype(np.uint8) & 1
+    packed = np.packbits(parity).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(starts, starts[1:])]
+
+
+def folded(raw: bytes, sizes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each text or -1, rows): the bitmaps of at least ``bits`` bits among those of ``raw``, folded to that width."""
+    widths = widths_of(sizes)
+    starts = np.concatenate(([0], np.cumsum(widths // 8)))
+    row, rows = np.full(len(sizes), -1, dtype=np.int64), []
+    flat, count = np.frombuffer(raw, dtype=np.uint8), 0
+    for width in np.unique(widths[widths >= bits]):
+        own = np.flatnonzero(widths == width)
+        block = flat[starts[own][:, None] + np.arange(width // 8)]
+        rows.append(np.bitwise_xor.reduce(block.reshape(len(own), width // bits, bits // 8), axis=1))
+        row[own] = count + np.arange(len(own))
+        count += len(own)
+    return row, np.concatenate(rows) if rows else np.empty((0, bits // 8), dtype=np.uint8)
+
+
 def within(left: np.ndarray, right: np.ndarray, radius: np.ndarray, slab: int = 1 << 14) -> np.ndarray:
     """Which pairs of packed bitmaps (rows of bytes) differ in at most ``radius`` bits, counted bit-sliced."""
     out = np.zeros(len(left), dtype=bool)
-    digits = BITS.bit_length()
+    bits_ = 8 * left.shape[1]
+    digits, slab = bits_.bit_length(), max(64, slab * 256 // bits_)
     for start in range(0, len(left), slab):
         apart = left[start : start + slab] ^ right[start : start + slab]
         lanes = len(apart)
         padded = -(-lanes // 64) * 64
-        bits = np.zeros((padded, BITS), dtype=np.uint8)
+        bits = np.zeros((padded, bits_), dtype=np.uint8)
         bits[:lanes] = np.unpackbits(apart, axis=1)
         planes = _planes(bits)
         most = np.zeros(padded, dtype=np.int64)
-        most[:lanes] = np.minimum(radius[start : start + slab], BITS)
+        most[:lanes] = np.minimum(radius[start : start + slab], bits_)
         limits = _planes(((most[:, None] >> np.arange(digits)) & 1).astype(np.uint8))
         words = np.arange(planes.shape[1])
         counters = [np.zeros(len(words), dtype=np.uint64) for _ in range(digits)]
-        for group in range(0, BITS, 32):
+        for group in range(0, bits_, 32):
             for k in range(group, group + 32, 2):
                 counters[0], carry = _add(counters[0], planes[k], planes[k + 1])
                 for d in range(1, digits):
@@ -259,8 +300,7 @@ def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
             if not len(owner):
                 continue
             sizes = np.bincount(owner, minlength=len(new))
-            parity = np.bincount(owner * BITS + (hashes >> np.uint64(17)).astype(np.int64) % BITS, minlength=len(new) * BITS) & 1
-            bitmaps = np.packbits(parity.astype(np.uint8).reshape(-1, BITS), axis=1)
+            bitmaps = bitmaps_of(owner, hashes, sizes)
             slot = (hashes >> np.uint64(64 - SEEN)).astype(np.int64)
             repeated = (twice[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
             often = counts[(hashes & np.uint64((1 << COUNTS) - 1)).astype(np.int64)].astype(np.int64)
@@ -291,7 +331,7 @@ def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
             out: list[list] = [[] for _ in range(7)]
             for a, b in zip(edges, np.append(edges[1:], len(bucket))):
                 texts, times = np.unique(owner[a:b], return_counts=True)
-                for column, x in zip(out, (int(bucket[a]), names[texts].tobytes(), _planar(sizes[texts]), bitmaps[texts].tobytes(), _planar(times), token[a:b].tobytes(), _planar(place[a:b]))):
+                for column, x in zip(out, (int(bucket[a]), names[texts].tobytes(), _planar(sizes[texts]), b"".join(bitmaps[t] for t in texts.tolist()), _planar(times), token[a:b].tobytes(), _planar(place[a:b]))):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], names=["bucket", "classes", "sizes", "bitmaps", "times", "tokens", "places"])
 
@@ -308,7 +348,7 @@ def _compare(likeness: float):
             join = lambda name, kind: np.frombuffer(b"".join(row[name] for row in own), dtype=kind)  # noqa: B023, E731
             numbers = lambda name: np.concatenate([_numbers(row[name]) for row in own])  # noqa: B023, E731
             names, sizes = join("classes", np.uint8).reshape(-1, 16), numbers("sizes")
-            bitmaps = join("bitmaps", np.uint8).reshape(-1, BITS // 8)
+            bitmaps = b"".join(row["bitmaps"] for row in own)
             text, token, place = np.repeat(np.arange(len(names)), numbers("times")), join("tokens", np.uint32), numbers("places")
             _, first, same = np.unique(names.view("V16").ravel(), return_index=True, return_inverse=True)
             text = first[same.ravel()][text]  # copies from other tasks are one text
@@ -334,7 +374,12 @@ def _compare(likeness: float):
             pairs = np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.int64)
             a, b = pairs // len(names), pairs % len(names)
             total = sizes[a] + sizes[b]
-            near = within(bitmaps[a], bitmaps[b], total - 2 * needed(total, likeness))
+            near, widths = np.zeros(len(a), dtype=bool), widths_of(sizes)
+            common = np.minimum(widths[a], widths[b])
+            for bits in np.unique(common):
+                these = np.flatnonzero(common == bits)
+                row, rows_ = folded(bitmaps, sizes, int(bits))
+                near[these] = within(rows_[row[a[these]]], rows_[row[b[these]]], (total - 2 * needed(total, likeness))[these])
             a, b = a[near], b[near]
             ordered = [(x, y) if x < y else (y, x) for x, y in ((names[i].tobytes(), names[j].tobytes()) for i, j in zip(a, b))]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in ordered], pa.binary()), pa.array([y for _, y in ordered], pa.binary())], names=["a", "b"])
@@ -381,8 +426,9 @@ def near_copies(df: DataFrame, key: str, text: str, likeness: float = 0.8, run:
     kind = dict(rows.dtypes)["k"]
     first = written(rows.mapInArrow(_first_pass(run, least), f"k {kind}, class binary, block int, payload binary"), "first")
     members = first.where(F.col("class").isNotNull()).select("k", "class").distinct()
-    buckets = shuffle_partitions(spark)
-    sketches = spark.sparkContext.broadcast(_sketches(first))
+    twice, counts = _sketches(first)
+    buckets = max(shuffle_partitions(spark), int(counts.sum() * (1 - likeness)) // IN_BUCKET)
+    sketches = spark.sparkContext.broadcast((twice, counts))
     shape = "bucket int, classes binary, sizes binary, bitmaps binary, times binary, tokens binary, places binary"
     postings = rows.select("t").mapInArrow(_postings(sketches, buckets, likeness, run, least), shape)
     maybe = postings.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare(likeness), "a binary, b binary")

@@ -113,7 +113,7 @@ def top_n_per_group(df: DataFrame, group: str, score: str, tie: str, item: str,
     active, open_groups, rounds = base, state.count(), 0
     start_item = 2 + code.blocks["t"]
     while open_groups:
-        joined = active.select("g", "salt", "s", "t", "i", "o").join(to_rows(state.drop("prefix")).hint("merge"), ["g", "salt"])
+        joined = active.select("g", "salt", "t", "i", "o").join(to_rows(state.drop("prefix")).hint("merge"), ["g", "salt"])
         kept = joined.where((F.col("at") < 0) | code.part(F.col("at")).between(F.col("above"), F.col("below")))
         active = cut(kept) if rounds else kept
         rounds += 1

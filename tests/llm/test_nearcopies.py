@@ -71,3 +71,45 @@ def test_hot_runs_use_the_grid(spark, monkeypatch):
 def test_empty(spark):
     members, links = near_copies(spark.createDataFrame([], "chunk_id string, text string"), "chunk_id", "text")
     assert members.count() == 0 and links.count() == 0 and alike_pairs(members, links, "chunk_id").count() == 0
+
+
+def test_bitmaps_of_longer_texts_are_wider_and_fold():
+    import lakebind.llm.nearcopies as N
+
+    dice = np.random.default_rng(2)
+    sizes = np.array([100, 400, 2000, 5000, 150])
+    owner = np.repeat(np.arange(5), sizes)
+    hashes = dice.integers(0, 2**63, len(owner)).astype(np.uint64)
+    maps = N.bitmaps_of(owner, hashes, sizes)
+    assert [8 * len(m) for m in maps] == [256, 1024, 4096, 16384, 256]
+    for bits in (256, 1024, 4096):
+        row, rows = N.folded(b"".join(maps), sizes, bits)
+        assert [r >= 0 for r in row] == [8 * len(m) >= bits for m in maps]
+        for k in np.flatnonzero(row >= 0):
+            own = np.bincount(((hashes[owner == k] >> np.uint64(17)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+            assert np.array_equal(np.packbits(own.astype(np.uint8)), rows[row[k]])
+    # unlike texts of any length are told apart, so the comparison rejects what shares one run only
+    for size in (150, 600, 2400):
+        one, two = (N.bitmaps_of(np.zeros(size, dtype=np.int64), dice.integers(0, 2**63, size).astype(np.uint64), np.array([size]))[0] for _ in range(2))
+        a, b = (np.frombuffer(m, dtype=np.uint8)[None] for m in (one, two))
+        assert not N.within(a, b, np.array([2 * size - 2 * int(np.ceil(2 * size * 0.6 / 1.6))]))[0]
+
+
+def test_full_sketches_and_long_texts_lose_nothing(spark, monkeypatch):
+    import lakebind.llm.nearcopies as N
+
+    dice = random.Random(6)
+    words = [f"w{k}" for k in range(900)]
+    rows = []
+    for k in range(40):
+        base = dice.choices(words, k=dice.choice([30, 200, 700, 3000]))
+        rows.append((f"a{k}", " ".join(base)))
+        for j in range(2):
+            copy = base[:]
+            for _ in range(dice.randint(0, len(base) // 8)):
+                copy[dice.randrange(len(copy))] = dice.choice(words)
+            rows.append((f"a{k}-{j}", " ".join(copy)))
+    monkeypatch.setattr(N, "SEEN", 16)  # nearly every slot is taken, as in a collection of many times the size
+    frame = spark.createDataFrame(rows, "chunk_id string, text string")
+    members, links = N.near_copies(frame, "chunk_id", "text", 0.6, 3, 20)
+    assert {(r["chunk_id_a"], r["chunk_id_b"]) for r in N.alike_pairs(members, links, "chunk_id").collect()} == brute(rows, 0.6, 3, 20)
