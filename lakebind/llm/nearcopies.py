@@ -18,6 +18,7 @@ pair of texts of 1,000 runs each are taken for one once in some 10^8 pairs.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -25,7 +26,6 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +41,7 @@ SEEN, COUNTS = 24, 18
 #: Texts with one run from which its block is spread over a grid of buckets.
 HOT = 2000
 _BLOCK = 1 << 16
-_WORD = regex.compile(r"[^\W_]+")
+_WORD = re.compile(r"[^\W_]+")
 
 
 class _Words(dict):
