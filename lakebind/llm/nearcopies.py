@@ -1,9 +1,9 @@
 """Near copies: all pairs of texts whose sets of word runs have at least a given likeness, without comparing all pairs.
 
-1. Every text gets the hashes of its runs of consecutive words. Sketches of fixed size, summed over all texts, tell
-   which runs occur twice at least and about how often.
+1. Every text gets the hashes of its runs of consecutive words. A sketch of fixed size, summed over all texts, tells
+   about how often each occurs; it serves the order of runs only, so that its errors cost time and no pair.
 2. Two texts of likeness t or more share one of the first n - ceil(t n) + 1 of their n runs in any common order. The
-   order is rare runs first; only repeated runs are sent, packed by bucket of their hash, with the text's parity bitmap.
+   order is rare runs first; those are sent, packed by bucket of their hash, with the text's parity bitmap.
 3. Within a bucket, texts that share a run are compared if their sizes and the run's places allow the likeness. Their
    bitmaps, wider for longer texts, are compared bit-sliced: the XOR of 64 pairs per word stands in vertical bit planes,
    carry-save adders count all distances at once, and blocks of 64 pairs are abandoned when all exceed the radius. As the
@@ -36,8 +36,8 @@ WIDTHS = ((160, 256), (640, 1024), (2560, 4096))
 WIDEST = 16384
 #: Postings that one bucket should hold on average.
 IN_BUCKET = 2_000_000
-#: Slots of the sketches, as powers of two: runs seen once and twice, and counts. Their size never grows.
-SEEN, COUNTS = 24, 18
+#: Slots of the sketch of counts, as a power of two. Its size never grows.
+COUNTS = 20
 #: Texts with one run from which its block is spread over a grid of buckets.
 HOT = 2000
 _BLOCK = 1 << 16
@@ -198,7 +198,6 @@ def _first_pass(run: int, least: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Words(), set()
-        times = np.zeros(1 << SEEN, dtype=np.uint8)
         counts = np.zeros(1 << COUNTS, dtype=np.uint32)
         long_enough: dict[bytes, bool] = {}
         kind = None
@@ -209,8 +208,6 @@ def _first_pass(run: int, least: int):
             owner, hashes = runs_of(new, words, run, least)
             some = set(owner.tolist())
             long_enough.update((c, k in some) for k, c in enumerate(classes))
-            at, c = np.unique((hashes >> np.uint64(64 - SEEN)).astype(np.int64), return_counts=True)
-            times[at] = np.minimum(2, times[at] + np.minimum(c, 2)).astype(np.uint8)
             counts += np.bincount((hashes & np.uint64((1 << COUNTS) - 1)).astype(np.int64), minlength=1 << COUNTS).astype(np.uint32)
             names = [_class_of(t) if t else None for t in texts]
             kept = [(k, n) for k, n in zip(keys, names) if n is not None and long_enough[n]]
@@ -219,8 +216,7 @@ def _first_pass(run: int, least: int):
                 names=["k", "class", "block", "payload"])
         if kind is None:
             return
-        blocks = [(b, zlib.compress(np.packbits(part > 0).tobytes() + np.packbits(part > 1).tobytes(), 1)) for b, part in enumerate(times.reshape(-1, _BLOCK)) if part.any()]
-        blocks += [(-1 - b, zlib.compress(part.tobytes(), 1)) for b, part in enumerate(counts.reshape(-1, _BLOCK)) if part.any()]
+        blocks = [(b, zlib.compress(part.tobytes(), 1)) for b, part in enumerate(counts.reshape(-1, _BLOCK)) if part.any()]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(blocks), kind), pa.nulls(len(blocks), pa.binary()), pa.array([b for b, _ in blocks], pa.int32()), pa.array([p for _, p in blocks], pa.binary())],
             names=["k", "class", "block", "payload"])
@@ -229,42 +225,23 @@ def _first_pass(run: int, least: int):
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """One block of a sketch from those of several tasks."""
-    block = table.column("block")[0].as_py()
+    """One block of the sketch from those of several tasks."""
     parts = [zlib.decompress(p) for p in table.column("payload").to_pylist()]
-    if block < 0:
-        total = reduce(lambda a, b: a + np.frombuffer(b, dtype=np.uint32).astype(np.uint64), parts, np.zeros(_BLOCK, dtype=np.uint64))
-        merged = np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()
-    else:
-        once, twice = np.zeros(_BLOCK // 8, dtype=np.uint8), np.zeros(_BLOCK // 8, dtype=np.uint8)
-        for p in parts:
-            one, two = np.frombuffer(p[: _BLOCK // 8], dtype=np.uint8), np.frombuffer(p[_BLOCK // 8 :], dtype=np.uint8)
-            twice |= two | (once & one)
-            once |= one
-        merged = once.tobytes() + twice.tobytes()
-    return pa.table({"block": pa.array([block], pa.int32()), "payload": pa.array([zlib.compress(merged, 1)], pa.binary())})
-
-
-def _sketches(first: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the runs that occur twice, and counts, from all tasks: 2 MB and 1 MB whatever the input.
-
-    The sketches of very many tasks are merged in two steps, so that none takes more than a share of them.
-    """
+    total = reduce(lambda a, b: a + np.frombuffer(b, dtype=np.uint32).astype(np.uint64), parts, np.zeros(_BLOCK, dtype=np.uint64))
+    merged = np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()
+    return pa.table({"block": table.column("block")[:1].combine_chunks(), "payload": pa.array([zlib.compress(merged, 1)], pa.binary())})
+
+
+def _sketch(first: DataFrame) -> np.ndarray:
+    """The counts from all tasks: 4 MB whatever the input. Those of very many tasks are merged in two steps."""
     blocks = first.where(F.col("block").isNotNull()).select("block", "payload")
     shape = "block int, payload binary"
     if len(first.inputFiles()) > 64:
         blocks = blocks.withColumn("part", F.spark_partition_id() % 64).groupBy("block", "part").applyInArrow(_merge, shape)
-    blocks = blocks.groupBy("block").applyInArrow(_merge, shape)
-    twice, counts = np.zeros((1 << SEEN) // 8, dtype=np.uint8), np.zeros(1 << COUNTS, dtype=np.uint32)
-    for row in blocks.toLocalIterator():
-        raw = zlib.decompress(row["payload"])
-        if row["block"] < 0:
-            at = -1 - row["block"]
-            counts[at * _BLOCK : (at + 1) * _BLOCK] = np.frombuffer(raw, dtype=np.uint32)
-        else:
-            step = _BLOCK // 8
-            twice[row["block"] * step : (row["block"] + 1) * step] = np.frombuffer(raw[step:], dtype=np.uint8)
-    return twice, counts
+    counts = np.zeros(1 << COUNTS, dtype=np.uint32)
+    for row in blocks.groupBy("block").applyInArrow(_merge, shape).toLocalIterator():
+        counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(zlib.decompress(row["payload"]), dtype=np.uint32)
+    return counts
 
 
 def _planar(numbers: np.ndarray) -> bytes:
@@ -287,11 +264,11 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.unique(wide.view("<u8").ravel())
 
 
-def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
-    """Packed rows by bucket: the class, size, bitmap and leading repeated runs of each text."""
+def _postings(sketch, buckets: int, likeness: float, run: int, least: int):
+    """Packed rows by bucket: the class, size, bitmap and leading runs of each text."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice, counts = sketches.value
+        counts = sketch.value
         noise = int(2 * np.median(counts))
         words, seen = _Words(), set()
         for batch in batches:
@@ -301,14 +278,12 @@ def _postings(sketches, buckets: int, likeness: float, run: int, least: int):
                 continue
             sizes = np.bincount(owner, minlength=len(new))
             bitmaps = bitmaps_of(owner, hashes, sizes)
-            slot = (hashes >> np.uint64(64 - SEEN)).astype(np.int64)
-            repeated = (twice[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
             often = counts[(hashes & np.uint64((1 << COUNTS) - 1)).astype(np.int64)].astype(np.int64)
-            order = np.lexsort((hashes, np.where(repeated > 0, often, -1), owner))
-            owner, hashes, repeated, often = owner[order], hashes[order], repeated[order], often[order]
+            order = np.lexsort((hashes, often, owner))
+            owner, hashes, often = owner[order], hashes[order], often[order]
             place = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
             prefix = sizes - np.ceil(likeness * sizes - 1e-9).astype(np.int64) + 1
-            sent = (place < prefix[owner]) & (repeated > 0)
+            sent = place < prefix[owner]
             owner, hashes, place, often = owner[sent], hashes[sent], place[sent], np.maximum(often[sent] - noise, 0)
             token, bucket = (hashes >> np.uint64(32)).astype(np.uint32), ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
             hot = np.flatnonzero(often > HOT)
@@ -426,11 +401,11 @@ def near_copies(df: DataFrame, key: str, text: str, likeness: float = 0.8, run:
     kind = dict(rows.dtypes)["k"]
     first = written(rows.mapInArrow(_first_pass(run, least), f"k {kind}, class binary, block int, payload binary"), "first")
     members = first.where(F.col("class").isNotNull()).select("k", "class").distinct()
-    twice, counts = _sketches(first)
+    counts = _sketch(first)
     buckets = max(shuffle_partitions(spark), int(counts.sum() * (1 - likeness)) // IN_BUCKET)
-    sketches = spark.sparkContext.broadcast((twice, counts))
+    sketch = spark.sparkContext.broadcast(counts)
     shape = "bucket int, classes binary, sizes binary, bitmaps binary, times binary, tokens binary, places binary"
-    postings = rows.select("t").mapInArrow(_postings(sketches, buckets, likeness, run, least), shape)
+    postings = rows.select("t").mapInArrow(_postings(sketch, buckets, likeness, run, least), shape)
     maybe = postings.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare(likeness), "a binary, b binary")
     pairs = written(maybe.distinct(), "pairs")
 

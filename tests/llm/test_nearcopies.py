@@ -95,7 +95,7 @@ def test_bitmaps_of_longer_texts_are_wider_and_fold():
         assert not N.within(a, b, np.array([2 * size - 2 * int(np.ceil(2 * size * 0.6 / 1.6))]))[0]
 
 
-def test_full_sketches_and_long_texts_lose_nothing(spark, monkeypatch):
+def test_a_full_sketch_and_long_texts_lose_nothing(spark, monkeypatch):
     import lakebind.llm.nearcopies as N
 
     dice = random.Random(6)
@@ -109,7 +109,7 @@ def test_full_sketches_and_long_texts_lose_nothing(spark, monkeypatch):
             for _ in range(dice.randint(0, len(base) // 8)):
                 copy[dice.randrange(len(copy))] = dice.choice(words)
             rows.append((f"a{k}-{j}", " ".join(copy)))
-    monkeypatch.setattr(N, "SEEN", 16)  # nearly every slot is taken, as in a collection of many times the size
+    monkeypatch.setattr(N, "COUNTS", 16)  # many runs in each slot, as in a collection of many times the size
     frame = spark.createDataFrame(rows, "chunk_id string, text string")
     members, links = N.near_copies(frame, "chunk_id", "text", 0.6, 3, 20)
     assert {(r["chunk_id_a"], r["chunk_id_b"]) for r in N.alike_pairs(members, links, "chunk_id").collect()} == brute(rows, 0.6, 3, 20)
