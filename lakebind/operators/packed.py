@@ -1,7 +1,7 @@
 """Splitting fields that hold several delimited values, by the delimiter skeleton of the field.
 
-A field is tokenised into single structural characters and runs of ordinary ones. Its skeleton is the tokens with every
-run masked. Fields of one skeleton split the same way, so the rule (which tokens make up each value, and how its
+A field is tokenised into single structural characters and runs of ordinary ones, blanks between those included. Its
+skeleton is the tokens with every run masked: names of one, two or more words look alike. Fields of one skeleton split the same way, so the rule (which tokens make up each value, and how its
 escapes are resolved) is worked out once per distinct skeleton and applied by token position, inside the JVM.
 """
 
@@ -22,7 +22,8 @@ BLANKS = " \u00a0\u3000"
 STRUCTURE = DELIMITERS + "".join(sorted(set("".join(QUOTES) + "".join(QUOTES.values())))) + BLANKS + "[]\\"
 MASK = "a"
 _CLASS = "".join("\\" + c if c in "[]\\\"'" else c for c in STRUCTURE)
-TOKEN = f"[{_CLASS}]|[^{_CLASS}]+"
+ORDINARY = f"[^{_CLASS}]+(?:[{BLANKS}]+[^{_CLASS}]+)*+"
+TOKEN = f"[{_CLASS}]|{ORDINARY}"
 #: Ways of resolving escapes: none, doubled quotes, JSON, and the repr of a list of strings.
 PLAIN, DOUBLED, JSON, REPR = 0, 1, 2, 3
 
@@ -123,7 +124,7 @@ def tokens_of(column: Column) -> Column:
 
 
 def skeleton_of(column: Column) -> Column:
-    return F.regexp_replace(column, f"[^{_CLASS}]+", MASK)
+    return F.regexp_replace(column, ORDINARY, MASK)
 
 
 def _resolve_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
