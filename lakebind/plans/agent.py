@@ -6,13 +6,19 @@ an argument, and the default one declines.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Protocol
 
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 
 class Provider(Protocol):
     def generate(self, prompt: str) -> str: ...
@@ -91,3 +97,48 @@ def answer(question: str, context: str, files: list[str], provider: Provider, fo
                 break
         raw = steps.once("final", lambda: provider.generate(f"Answer from the result.\n{question}\n{raw}"))
     return final_answer(raw)
+
+
+def answer_all(questions: DataFrame, contexts: DataFrame, make: Callable[[], Provider], folder: str, budget: int = 60_000) -> DataFrame:
+    """(question_id, answer, n_files): every question answered in a task from the contexts of its files.
+
+    ``questions`` have question_id, question and source_files; ``contexts`` have source_path and context. Contexts are
+    joined in the order of the files and cut at the budget of a question; the steps of each question are kept in a folder
+    of its own, so that a task that runs again goes on where it stopped. A question that fails gets an empty answer.
+    """
+    listed = questions.select("question_id", "question", F.posexplode_outer("source_files").alias("at", "source_path")).join(contexts.select("source_path", "context"), "source_path", "left")
+    whole = listed.groupBy("question_id", "question").agg(
+        F.substring(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("source_path").isNotNull(), F.struct("at", F.coalesce("context", F.concat(F.lit("No context found for "), "source_path"))
+        .alias("c"))))), lambda x: x["c"]), "\n\n"), 1, budget).alias("context"), F.array_sort(F.collect_set("source_path")).alias("files"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for number, question, context, files in batch.itertuples(index=False):
+                safe = re.sub(r"[^A-Za-z0-9_-]+", "_", str(number)) + "-" + hashlib.sha1(str(number).encode()).hexdigest()[:8]
+                try:
+                    reply = answer(question or "", context or "", list(files), make(), f"{folder}/question_{safe}")
+                except Exception:  # one question must not end the run of all
+                    reply = ""
+                out.append((number, reply, len(files)))
+            yield pd.DataFrame(out, columns=["question_id", "answer", "n_files"])
+
+    return whole.select("question_id", "question", "context", "files").mapInPandas(run, "question_id string, answer string, n_files int")
+
+
+def remember(rows: DataFrame, path: str) -> None:
+    """Appends (file, code, result) to the cache of what was learned of files, with the time."""
+    rows.select("file", "code", "result", F.current_timestamp().alias("cached_at")).write.mode("append").parquet(path)
+
+
+def recall(spark: SparkSession, path: str) -> DataFrame:
+    """The last entry of the cache for each file; an empty table if nothing was kept yet."""
+    from lakebind.operators.chunking import latest_by_key
+
+    try:
+        log = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], "file string, code string, result string, cached_at timestamp")
+    return latest_by_key(log, "file", "cached_at")

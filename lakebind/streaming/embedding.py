@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +18,9 @@ def embed_stream(spark: SparkSession, chunks: DataFrame, cache_path: str, checkp
     def append(batch: DataFrame, _: int) -> None:
         try:
             known = spark.read.parquet(cache_path).select("cache_key", "embedding").dropDuplicates(["cache_key"])
-        except Exception:
+        except AnalysisException as missing:  # nothing was embedded yet; any other failure must not look like that
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
             known = None
         _, fresh = embed(batch.dropDuplicates(["chunk_id"]), known, provider)
         fresh.write.mode("append").parquet(cache_path)

@@ -72,3 +72,36 @@ def test_heuristic_rerank_keeps_the_sources_of_its_own_retrieval(spark):
     kinds = spark.createDataFrame([("p", "y/p.csv", "table", "t", "f", "unrelated")], corpus.schema)
     named = asked.withColumn("question", F.lit("which csv"))
     assert P.Pipeline(P.configure(mode="lexical", rerank="heuristic"), kinds).retrieve(named).count() == 1
+
+
+def test_questions_are_answered_in_tasks_and_resumed(spark, tmp_path):
+    from lakebind.plans import agent as A
+    from lakebind.sources import files as S
+
+    asked = spark.createDataFrame([("1", "how many?", ["a.txt", "b.txt"]), ("x/2", "why?", [])], "question_id string, question string, source_files array<string>")
+    contexts = spark.createDataFrame([("a.txt", "three reeds")], "source_path string, context string")
+
+    def echo(reply):
+        def make():
+            class Echo:
+                def generate(self, prompt):
+                    return "DIRECT" if prompt.startswith("DIRECT") else f"<final_answer>{reply} {'three reeds' in prompt} {'No context found for b.txt' in prompt}</final_answer>"
+
+            return Echo()
+
+        return make
+
+    def broken():
+        raise RuntimeError("no model")
+
+    answers = lambda make: {r["question_id"]: (r["answer"], r["n_files"]) for r in A.answer_all(asked, contexts, make, str(tmp_path / "steps")).collect()}
+    assert answers(echo("yes")) == {"1": ("yes True True", 2), "x/2": ("yes False False", 0)}
+    assert answers(echo("again")) == {"1": ("yes True True", 2), "x/2": ("yes False False", 0)}
+    assert {r["answer"] for r in A.answer_all(asked, contexts, broken, str(tmp_path / "other")).collect()} == {""}
+    cache = str(tmp_path / "cache")
+    assert A.recall(spark, cache).count() == 0
+    for result in ("old", "new"):
+        A.remember(spark.createDataFrame([("a.txt", "code", result)], "file string, code string, result string"), cache)
+    assert [r["result"] for r in A.recall(spark, cache).collect()] == ["new"]
+    S.write_evaluation(spark.createDataFrame([("2", 1.0), ("1", 0.5)], "question_id string, recall double"), spark.createDataFrame([(0.75,)], "macro_recall double"), str(tmp_path / "eval"))
+    assert [r["value"][:22] for r in spark.read.text(str(tmp_path / "eval")).collect()] == ['{"summary":{"macro_rec', '{"result":{"question_i', '{"result":{"question_i']
