@@ -8,17 +8,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that this process has written and not released.
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediate tables written so far; to be called when the results that read them are used up."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``folder`` (a file or a directory of part files)."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a new temporary one is set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset and the master is local (tests), a new temporary one is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
         folder = context.getCheckpointDir()
+    if not folder and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not folder:
         folder = f"file://{tempfile.mkdtemp(prefix='lakebind-')}"
     if context.getCheckpointDir() is None:
@@ -37,6 +51,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
