@@ -135,7 +135,8 @@ def top_n_per_group(df: DataFrame, group: str, score: str, tie: str, item: str,
         part = F.when(width <= 0, 0).otherwise(F.least(F.floor((F.col("here") - F.col("lo")) / width * fanout), F.lit(fanout - 1))).cast("int")
         counted = valued.withColumn("part", part).groupBy("g", "part").agg(
             F.count(F.lit(1)).alias("c"), F.min("here").alias("mn"), F.max("here").alias("mx"), F.min("s").alias("mn_s"), F.max("s").alias("mx_s"),
-            *[f(c).alias(f"{name}_{c}") for c in ("t", "i") for name, f in (("mn", F.min), ("mx", F.max))], F.count("t").alias("with_t"))
+            # the texts are looked at only where the scores no longer differ
+            *[f(F.when(F.col("lvl") >= 2, F.col(c))).alias(f"{name}_{c}") for c in ("t", "i") for name, f in (("mn", F.min), ("mx", F.max))], F.count("t").alias("with_t"))
         down = Window.partitionBy("g").orderBy(F.desc("part"))
         above = counted.withColumn("cum", F.sum("c").over(down)).where(F.col("cum") > 0).join(state.select("g", "prefix", "lvl", "need"), "g")
         cutoff = above.where((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("c") < F.col("need"))).withColumn("need", F.col("need") - F.col("cum") + F.col("c"))
@@ -145,7 +146,8 @@ def top_n_per_group(df: DataFrame, group: str, score: str, tie: str, item: str,
         all_t = (F.col("with_t") == F.col("c")) | (F.col("with_t") == 0)
         to_tie = F.when(all_t, F.greatest(tie_from, code.tie + F.when(F.col("with_t") == 0, code.blocks["t"]).otherwise(code.common(F.col("mn_t"), F.col("mx_t"), "t")))).otherwise(tie_from)
         to_item = F.greatest(F.col("lvl") + 1, F.lit(code.item), code.item + code.common(F.col("mn_i"), F.col("mx_i"), "i"))
-        following = F.when(F.col("lvl") < 2, F.col("lvl") + 1).when(in_tie & (to_tie < code.item), to_tie).otherwise(to_item).cast("int")
+        equal = (F.col("lvl") == 0) & (F.col("mn_s") == F.col("mx_s"))
+        following = F.when(equal, 2).when(F.col("lvl") < 2, F.col("lvl") + 1).when(in_tie & (to_tie < code.item), to_tie).otherwise(to_item).cast("int")
         cutoff = cutoff.withColumn("to", F.least(following, F.lit(code.size)))
         cutoff = _with_bits(cutoff.withColumn("s", F.col("mn_s")), one & (F.col("to") <= code.tie)).withColumn("least_bits", F.col("bits"))
         cutoff = _with_bits(cutoff.withColumn("s", F.col("mx_s")), one & (F.col("to") <= code.tie)).withColumn("most_bits", F.col("bits"))
