@@ -46,16 +46,18 @@ def postings(df: DataFrame, key: str, text: Column, expand: bool = True, only: D
     """
     word = F.col("word")
     rows = df.select(key, F.explode_outer(T.token_like(text)).alias("word")).select(key, F.when(T.is_token(word), word).alias("token"))
-    trigger = F.when(F.col("token").isin(*T.TRIGGERS), F.col("token"))
-    nothing = F.array().cast("array<string>")
     if only is not None:
-        asked = only.select("token").distinct().withColumn("asked", F.lit(True))
-        asked = F.broadcast(asked) if asked.count() <= ASKED else asked
-        docs = rows.join(asked, "token", "left").groupBy(key).agg(
-            F.count("token").alias("own"), F.collect_set(trigger).alias("have"), F.collect_list(F.when(F.col("asked"), F.col("token"))).alias("matched"))
-        docs = cut(docs.withColumn("added", T.synonyms(F.col("have")) if expand else nothing))
-        terms = docs.select(key, F.explode(F.concat("matched", "added")).alias("token")).join(asked.select("token"), "token", "left_semi")
-        return terms.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")), docs.select(key, (F.col("own") + F.size("added")).alias("dl"))
+        asked = only.select("token").distinct()
+        small = asked.count() <= ASKED
+        wanted = asked.unionByName(asked.sparkSession.createDataFrame([(t,) for t in T.TRIGGERS], "token string")).distinct().withColumn("wanted", F.lit(True))
+        # what no search asks for is counted under one null word: it only makes the length
+        rows = rows.join(F.broadcast(wanted) if small else wanted, "token", "left")
+        counts = cut(rows.groupBy(key, F.when(F.col("wanted"), F.col("token")).alias("token")).agg(F.count(rows["token"]).alias("tf")))
+        own = counts.where("token IS NOT NULL")
+        added = own.where(F.col("token").isin(*T.TRIGGERS)).groupBy(key).agg(F.collect_set("token").alias("have"))
+        added = added.select(key, F.explode(T.synonyms(F.col("have"))).alias("token"), F.lit(1).cast("bigint").alias("tf")) if expand else own.limit(0)
+        terms = own.unionByName(added).join(F.broadcast(asked) if small else asked, "token", "left_semi").groupBy(key, "token").agg(F.sum("tf").alias("tf"))
+        return terms, counts.select(key, "tf").unionByName(added.select(key, "tf")).groupBy(key).agg(F.sum("tf").alias("dl"))
     counts = cut(rows.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
     terms = counts.where("token IS NOT NULL")
     if expand:
