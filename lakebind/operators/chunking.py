@@ -70,6 +70,10 @@ def latest_by_key(log: DataFrame, key: str, order: str) -> DataFrame:
     return log.withColumn("rn", F.row_number().over(last)).where("rn = 1").drop("rn")
 
 
+#: Tokens that a task remembers the places of, at most.
+REMEMBERED = 500_000
+
+
 class EmbeddingProvider(Protocol):
     """What embeds texts; one is made in every task."""
 
@@ -83,7 +87,7 @@ class HashingProvider:
     """An offline provider: signed hashed token counts, normalised. The same text always has the same vector."""
 
     def __init__(self, dimension: int = 64):
-        self.model, self.dimension = f"hashing-{dimension}", dimension
+        self.model, self.dimension, self.known = f"hashing-{dimension}", dimension, {}
 
     def embed_batch(self, texts: list[str]) -> list[list[float]]:
         from hashlib import blake2b
@@ -92,8 +96,12 @@ class HashingProvider:
         for text in texts:
             vector = [0.0] * self.dimension
             for token in text.lower().split():
-                value = int.from_bytes(blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-                vector[value % self.dimension] += 1.0 if value >> 63 else -1.0
+                if (place := self.known.get(token)) is None:
+                    value = int.from_bytes(blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+                    if len(self.known) >= REMEMBERED:
+                        self.known.clear()
+                    place = self.known[token] = value % self.dimension, 1.0 if value >> 63 else -1.0
+                vector[place[0]] += place[1]
             norm = sum(x * x for x in vector) ** 0.5 or 1.0
             out.append([x / norm for x in vector])
         return out

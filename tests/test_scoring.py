@@ -51,3 +51,19 @@ def test_tokens_of_tasks_are_those_of_the_plans(spark):
 def test_distinct_rows(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1), ("c", None)], "k string, v int")
     assert sorted(map(str, distinct_rows(df, "k").collect())) == sorted(map(str, df.distinct().collect()))
+
+
+def test_only_the_best_vectors_leave_a_task(spark):
+    vectors = spark.range(30_000).coalesce(1).select(F.format_string("v%05d", "id").alias("chunk_id"), F.array(F.sin("id"), F.cos("id"), F.lit(0.1)).alias("embedding"))
+    asked = spark.createDataFrame([("q1", [1.0, 0.0, 0.0]), ("q2", [0.0, 0.0, 0.0])], "question_id string, embedding array<double>")
+    best, every = R.vector_scores(vectors, asked, 20).collect(), R.vector_scores(vectors, asked).collect()
+    assert len(every) == 60_000 and len(best) <= 2 * 36  # of equal scores, too, no more than what can count
+    first = lambda rows, q: sorted(((-round(r["score"], 9), r["chunk_id"]) for r in rows if r["question_id"] == q))[:20]
+    assert all(first(every, q) == first(best, q) for q in ("q1", "q2"))
+
+
+def test_remembered_tokens_keep_their_vectors():
+    from lakebind.operators import chunking as C
+
+    provider = C.HashingProvider()
+    assert provider.embed_batch(["red fox", "red red"]) == C.HashingProvider().embed_batch(["red fox"]) + C.HashingProvider().embed_batch(["red red"])
