@@ -67,3 +67,22 @@ def test_remembered_tokens_keep_their_vectors():
 
     provider = C.HashingProvider()
     assert provider.embed_batch(["red fox", "red red"]) == C.HashingProvider().embed_batch(["red fox"]) + C.HashingProvider().embed_batch(["red red"])
+
+
+def test_lexical_in_tasks_and_in_joins_are_alike(spark, monkeypatch):
+    rows = [(f"c{k:04}", f"d{k % 7}/report_{k % 90}_plan.{('csv', 'jpg', 'txt')[k % 3]}", ("table", "image", "text")[k % 3], "text", "file", f"Red {'fox ' * (k % 4)}harbour-mill.pdf học bổng word{k % 50} {'ﬁne' if k % 11 == 0 else ''}") for k in range(600)]
+    rows += [("n1", None, "image", "text", "file", None), ("n2", "", "audio", "text", "file", "anh hinh")]
+    chunks = spark.createDataFrame(rows, CORPUS)
+    asked = questions(spark, 'Which red fox is in "report_7_plan.csv"?', "Count the images in 'report_8' of harbour-mill", 'scholarship table "harbour-mill.pdf" "harbour-mill.pdf" word3', "ảnh nào", "unmet words only")
+    got = lambda: {(r["question_id"], r["source_path"]): (round(r["score"], 7), r["n_chunks"], r["source_rank"]) for r in R.lexical(chunks, asked).collect()}
+    tasks = got()
+    monkeypatch.setattr(R, "VOCABULARY", 0)
+    assert len(tasks) > 60 and got() == tasks
+
+
+def test_only_the_best_sources_leave_a_task(spark, monkeypatch):
+    given = []
+    kept = S.source_scores
+    monkeypatch.setattr(S, "source_scores", lambda *a: given.append(kept(*a)) or given[-1])
+    assert R.lexical(many(spark), questions(spark, "red fox", "red")).count() == 40
+    assert given[0].coalesce(1).count() <= 2 * 36 * given[0].rdd.getNumPartitions()
