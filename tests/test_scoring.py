@@ -86,3 +86,13 @@ def test_only_the_best_sources_leave_a_task(spark, monkeypatch):
     monkeypatch.setattr(S, "source_scores", lambda *a: given.append(kept(*a)) or given[-1])
     assert R.lexical(many(spark), questions(spark, "red fox", "red")).count() == 40
     assert given[0].coalesce(1).count() <= 2 * 36 * given[0].rdd.getNumPartitions()
+
+
+def test_searches_with_and_without_paths_share_their_counts(spark, monkeypatch):
+    calls, kept = [], S.counted
+    monkeypatch.setattr(S, "counted", lambda *a: calls.append(1) or kept(*a))
+    asked = questions(spark, "red fox f17", "word17 d3")
+    texts = R.bm25_texts(many(spark), asked, with_path=True)
+    got = [texts.hits(scales, 10).select("question_id", "chunk_id", F.round("score", 7)).collect() for scales in ([1.0, 0.0], [1.0, R.PATH_WEIGHT])]
+    assert len(calls) == 1
+    assert [sorted(x) for x in got] == [sorted(R.bm25_hits(many(spark), asked, p, 10).select("question_id", "chunk_id", F.round("score", 7)).collect()) for p in (False, True)]
