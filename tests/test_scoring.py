@@ -96,3 +96,13 @@ def test_searches_with_and_without_paths_share_their_counts(spark, monkeypatch):
     got = [texts.hits(scales, 10).select("question_id", "chunk_id", F.round("score", 7)).collect() for scales in ([1.0, 0.0], [1.0, R.PATH_WEIGHT])]
     assert len(calls) == 1
     assert [sorted(x) for x in got] == [sorted(R.bm25_hits(many(spark), asked, p, 10).select("question_id", "chunk_id", F.round("score", 7)).collect()) for p in (False, True)]
+
+
+def test_overlaps_of_evidence_are_made_in_tasks(spark):
+    rows = spark.createDataFrame([("q", "a/b.txt", ["red", "fox", "du"], [2, 1, 1], "Red red fox, du án", 1.0), ("q", "c", None, None, None, 2.0)], "question_id string, source_path string, tokens array<string>, qtfs array<bigint>, text string, base double")
+    got = S.shared(rows, {"text_overlap": F.col("text"), "path_overlap": F.col("source_path")}).orderBy("base").collect()
+    tokens = Counter(T.with_tokens(rows, F.col("text"), "all").orderBy("base").first()["all"])
+    least = sum(min(n, tokens[t]) for t, n in (("red", 2), ("fox", 1), ("du", 1)))
+    assert got[0]["text_overlap"] == pytest.approx(least / (6 * sum(n * n for n in tokens.values())) ** 0.5)
+    assert [r["path_overlap"] for r in got] == [0.0, 0.0] and got[1]["text_overlap"] == 0.0
+    assert got[0].asDict().keys() == {"question_id", "source_path", "base", "text_overlap", "path_overlap"}
