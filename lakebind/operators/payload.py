@@ -21,20 +21,22 @@ from lakebind.functions import text as T
 SHOWN, SNIPPET = 5, 900
 
 
-def with_payload(ranking: DataFrame, hits: DataFrame, corpus: DataFrame, reason: str, shown: int = SHOWN) -> DataFrame:
+def with_payload(ranking: DataFrame, hits: DataFrame, corpus: DataFrame, reason: str, shown: int = SHOWN, texts: bool = True) -> DataFrame:
     """``ranking`` with source_kind, reasons, chunks and source_chunks.
 
     ``hits`` are the ranked chunks of the retrieval (question_id, chunk_id, source_path, score, rank; optionally reasons,
     an array of a chunk's own). ``chunks`` are the best ones as structs in order of rank, ``reasons`` the distinct ones of
     those and ``reason`` (left out if empty), ``source_chunks`` counts all chunks of the source; without chunks the kind is ``file``.
+    Without ``texts`` the chunks have no locator and text, for results that show neither: these would be moved with every chunk.
     """
     keys = ["question_id", "source_path"]
     own = F.col("reasons") if "reasons" in hits.columns else F.array().cast("array<string>")
     best = hits.join(ranking.select(*keys), keys, "left_semi").select(*keys, "chunk_id", "score", "rank", own.alias("reasons"))
     best = best.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))).where(F.col("rn") <= shown)
-    about = corpus.select("chunk_id", "source_kind", "locator", T.compact(F.col("text"), SNIPPET).alias("text")).dropDuplicates(["chunk_id"])
+    said = {"locator": F.col("locator"), "text": T.compact(F.col("text"), SNIPPET)} if texts else {}
+    about = corpus.select("chunk_id", "source_kind", *[value.alias(name) for name, value in said.items()]).dropDuplicates(["chunk_id"])
     listed = best.join(about, "chunk_id", "left").groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("rn", "chunk_id", F.round("score", 6).alias("score"), "locator", "text"))).alias("chunks"),
+        F.array_sort(F.collect_list(F.struct("rn", "chunk_id", F.round("score", 6).alias("score"), *said))).alias("chunks"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("found"), F.min_by("source_kind", "rn").alias("kind"))
     sizes = corpus.groupBy("source_path").agg(F.countDistinct("chunk_id").alias("source_chunks"))
     out = ranking.join(listed, keys, "left").join(sizes, "source_path", "left")

@@ -47,6 +47,15 @@ def test_payload_of_results(spark):
     assert {r["source_path"]: r["source_summary"] for r in told.collect()} == {"s0.csv": '{"tables":2}', "s1.csv": "{}", "absent": "{}"}
 
 
+def test_payload_without_texts_moves_none(spark):
+    corpus, hits, ranking = _results(spark)
+    whole, bare = P.with_payload(ranking, hits, corpus, "bm25"), P.with_payload(ranking, hits, corpus, "bm25", texts=False)
+    plain = lambda df: sorted(map(str, df.withColumn("chunks", F.transform("chunks", lambda c: c["chunk_id"])).collect()))
+    assert plain(bare) == plain(whole)
+    held = lambda df: [line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "text#" in line and "LogicalRDD" not in line]
+    assert held(whole) and not held(bare)
+
+
 def test_judge_is_asked_once_and_its_reply_is_parsed(spark, tmp_path):
     corpus, hits, ranking = _results(spark)
     results = P.with_payload(ranking, hits, corpus, "bm25")

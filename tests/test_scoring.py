@@ -31,6 +31,24 @@ def test_only_the_best_chunks_leave_a_task(spark):
     assert all(first(every, q) == first(best, q) for q in ("q1", "q2"))
 
 
+def test_what_leaves_the_tasks_does_not_grow_with_the_blocks(spark, monkeypatch):
+    rows, asked = many(spark).repartition(30), questions(spark, "red fox", "word17 red", "fox", "unmet", "red fox f17")
+    every = R.bm25_texts(rows, asked, with_path=True).scores([1.0, R.PATH_WEIGHT]).collect()
+    monkeypatch.setattr(S, "BLOCK", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        texts = R.bm25_texts(rows, asked, with_path=True)
+        assert texts.documents.rdd.getNumPartitions() >= 15
+        best = texts.scores([1.0, R.PATH_WEIGHT], 20).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    first = lambda rows, q: sorted((-round(r["score"], 9), r["chunk_id"]) for r in rows if r["question_id"] == q)[:20]
+    assert all(first(every, f"q{k}") == first(best, f"q{k}") for k in range(1, 6)) and {r["question_id"] for r in best} == {"q1", "q2", "q3", "q5"}
+    assert len(best) <= 4 * S.SHARING * 36
+
+
 def test_scores_in_tasks_and_in_joins_are_alike(spark, monkeypatch):
     rows, asked = many(spark).unionByName(corpus(spark, [("c0001", "again.txt", "red red river"), ("e", "", None)])), questions(spark, "red fox f17 river", "du an hoc bong")
     got = lambda: {(r["question_id"], r["chunk_id"]): r["score"] for r in R.bm25_texts(rows, asked, with_path=True).scores([1.0, R.PATH_WEIGHT]).collect()}
