@@ -124,3 +124,33 @@ def test_overlaps_of_evidence_are_made_in_tasks(spark):
     assert got[0]["text_overlap"] == pytest.approx(least / (6 * sum(n * n for n in tokens.values())) ** 0.5)
     assert [r["path_overlap"] for r in got] == [0.0, 0.0] and got[1]["text_overlap"] == 0.0
     assert got[0].asDict().keys() == {"question_id", "source_path", "base", "text_overlap", "path_overlap"}
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """A folder of tables whose three searched questions share tokens with all 900 chunks; one question and some chunks are repeated."""
+    folder = str(tmp_path_factory.mktemp("lake"))
+    asked = spark.createDataFrame([("50", "red fox"), ("50", "red fox"), ("100", "word17 red"), ("150", "fox d3 red f17"), ("51", "red")], "question_id string, question string")
+    chunks = many(spark)
+    tables = {"canonical_chunks": chunks.unionByName(chunks.where("chunk_id < 'c0050'")).repartition(8), "retrieval_questions": asked}
+    for name, key in (("texts", "text_id"), ("images", "image_id")):
+        tables[f"canonical_{name}"] = chunks.where("chunk_id < 'c0400'").select(F.col("chunk_id").alias(key), "source_path")
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["external_score_rerank_strict"])
+def test_registered_searches_move_only_the_best_chunks(spark, lake, monkeypatch, name):
+    import duckdb
+    from lakebind.plans.retrieval import QUERIES, SQL
+
+    given, kept = [], R.top_chunks
+    monkeypatch.setattr(R, "top_chunks", lambda scores, *a: given.append(scores) or kept(scores, *a))
+    got = QUERIES[name](spark, lake)
+    assert len(given) == 1 and given[0].count() <= 3 * S.SHARING * (R.CHUNK_K + 16)  # of 2,700 pairs
+    with duckdb.connect() as db:
+        for table in ("canonical_chunks", "canonical_texts", "canonical_images", "retrieval_questions"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{lake}/{table}.parquet/*.parquet'")
+        right = db.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL[name]})").fetchall()
+    assert right and sorted(map(tuple, got.collect())) == sorted(right)
