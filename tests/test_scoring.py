@@ -140,7 +140,7 @@ def lake(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["external_score_rerank_strict", "bm25_with_path", "external_score_rerank_current", "bm25_topk", "result_summaries"])
+@pytest.mark.parametrize("name", ["external_score_rerank_strict", "bm25_with_path", "external_score_rerank_current", "bm25_topk", "result_summaries", "solution_export"])
 def test_registered_searches_move_only_the_best_chunks(spark, lake, monkeypatch, name):
     import duckdb
     from lakebind.plans.retrieval import QUERIES, SQL
