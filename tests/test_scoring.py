@@ -154,3 +154,33 @@ def test_registered_searches_move_only_the_best_chunks(spark, lake, monkeypatch,
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{lake}/{table}.parquet/*.parquet'")
         right = db.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL[name]})").fetchall()
     assert right and sorted(map(tuple, got.collect())) == sorted(right)
+
+
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    """A folder of tables with more questions than cores, of which the search by ids divisible by 50 would ask one."""
+    folder = str(tmp_path_factory.mktemp("whole"))
+    texts = ["red fox", "word17 red", "fox d3 red f17", "red", "red fox fox word40", "unmet", "word5 f17"]
+    asked = spark.createDataFrame([*zip(("50", "51", "x7", "8", "9", "10", "11"), texts), ("12", " ")], "question_id string, question string")
+    tables = {"canonical_chunks": many(spark).repartition(8), "retrieval_questions": asked.unionByName(asked)}
+    for name, key in (("texts", "text_id"), ("images", "image_id")):
+        tables[f"canonical_{name}"] = many(spark).where("chunk_id < 'c0400'").select(F.col("chunk_id").alias(key), "source_path")
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["bm25_topk"])
+def test_registered_searches_answer_every_question(spark, whole, name):
+    import duckdb
+    from lakebind.plans.retrieval import QUERIES, SQL
+
+    got = QUERIES[name](spark, whole)
+    rows = [tuple(",".join(v) if isinstance(v, list) else v for v in r) for r in got.collect()]
+    met = {"50", "51", "x7", "8", "9", "11"} | ({"10"} if name in ("solution_export", "hybrid_lexical_vector") else set())  # nothing has the token of 10
+    assert {r[0] for r in rows} == met
+    if name in SQL:
+        with duckdb.connect() as db:
+            for table in ("canonical_chunks", "canonical_texts", "canonical_images", "retrieval_questions"):
+                db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{whole}/{table}.parquet/*.parquet'")
+            assert sorted(rows) == sorted(db.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL[name]})").fetchall())
