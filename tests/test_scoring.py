@@ -170,7 +170,7 @@ def whole(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["bm25_topk"])
+@pytest.mark.parametrize("name", ["bm25_topk", "bm25_payload"])
 def test_registered_searches_answer_every_question(spark, whole, name):
     import duckdb
     from lakebind.plans.retrieval import QUERIES, SQL
