@@ -170,7 +170,7 @@ def whole(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["bm25_topk", "bm25_payload", "bm25_with_path", "external_score_rerank_chunk", "external_score_rerank_current", "external_score_rerank_strict", "hybrid_rrf", "result_summaries", "solution_export"])
+@pytest.mark.parametrize("name", ["bm25_topk", "bm25_payload", "bm25_with_path", "external_score_rerank_chunk", "external_score_rerank_current", "external_score_rerank_strict", "hybrid_rrf", "result_summaries", "solution_export", "heuristic_rerank"])
 def test_registered_searches_answer_every_question(spark, whole, name):
     import duckdb
     from lakebind.plans.retrieval import QUERIES, SQL
